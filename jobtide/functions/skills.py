@@ -9,6 +9,7 @@ That changes the cost, never the result.
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -76,15 +77,30 @@ def _may_match(pattern: str, text: Column, lowered: Column) -> Column | None:
     return gate
 
 
-def match_skills(text: Column, skills: Iterable[Skill]) -> Column:
-    """Skills whose pattern is found in ``text``, in taxonomy order."""
-    lowered = F.lower(F.translate(text, *FOLDING))
+def _foldable(text: Column) -> Column:
+    """Lower case, so that every match ignoring case is plain ASCII."""
+    folds = reduce(lambda a, b: a | b, [text.contains(char) for char in FOLDING[0]])
+    return F.lower(F.when(folds, F.translate(text, *FOLDING)).otherwise(text))
+
+
+def match_skills(df: DataFrame, text: Column, skills: Iterable[Skill], name: str) -> DataFrame:
+    """Add the list ``name``: skills found in ``text``, in taxonomy order.
+
+    The text and its lower-case form are columns of their own projections, so
+    they are computed once and not once per pattern.
+    """
+    source, lowered = F.col("_text"), F.col("_lowered")
     hits = []
     for row in skills:
-        hit = text.rlike(java_regex(row.regex))
-        gate = _may_match(row.regex, text, lowered)
+        hit = source.rlike(java_regex(row.regex))
+        gate = _may_match(row.regex, source, lowered)
         hits.append(F.when(hit if gate is None else gate & hit, F.lit(row.skill)))
-    return F.array_compact(F.array(*hits))
+    return (
+        df.withColumn("_text", text)
+        .withColumn("_lowered", _foldable(source))
+        .withColumn(name, F.array_compact(F.array(*hits)))
+        .drop("_text", "_lowered")
+    )
 
 
 def haystack(
@@ -109,14 +125,14 @@ def haystack(
 
 
 def extract_skills(
-    title: Column,
-    tags: Column,
-    text: Column,
+    df: DataFrame,
     skills: Iterable[Skill],
     max_chars: int | None = V.SKILL_TEXT_CHARS,
-) -> Column:
-    """The ``;``-joined skills of one posting."""
-    return join_list(match_skills(haystack(title, tags, text, max_chars), skills))
+    name: str = "skills",
+) -> DataFrame:
+    """Add the ``;``-joined skills of postings."""
+    hay = haystack(F.col("title"), F.col("tags"), F.col("description_text"), max_chars)
+    return match_skills(df, hay, skills, name).withColumn(name, join_list(F.col(name)))
 
 
 def skill_list(taxonomy: DataFrame) -> list[Skill]:

@@ -503,25 +503,25 @@ def classify_family(r: Relations) -> DataFrame:
 )
 def extract_skills(r: Relations) -> DataFrame:
     """Skills of every posting: title, tags and description."""
-    found = skills.extract_skills(
-        F.col("title"), F.col("tags"), F.col("description_text"), default_skills()
-    )
-    return r.raw.select("external_id", "snapshot_date", found.alias("found"))
+    found = skills.extract_skills(r.raw.drop("skills"), default_skills(), name="found")
+    return found.select("external_id", "snapshot_date", "found")
+
+
+def _document_skills(r: Relations, hay) -> DataFrame:
+    found = skills.match_skills(r.table("documents"), hay, default_skills(), "found")
+    return found.select("doc_id", text.join_list(F.col("found")).alias("found"))
 
 
 @query(f"SELECT doc_id, {O.skills_sql('text')} AS found FROM documents")
 def extract_skills_whole_text(r: Relations) -> DataFrame:
     """Skills over whole documents, whatever their length."""
-    found = text.join_list(skills.match_skills(F.col("text"), default_skills()))
-    return r.table("documents").select("doc_id", found.alias("found"))
+    return _document_skills(r, F.col("text"))
 
 
 @query(f"SELECT doc_id, {O.skills_sql('substring(text, 1, 6000)')} AS found FROM documents")
 def extract_skills_window(r: Relations) -> DataFrame:
     """As stored with a posting: the operator looks at the first 6000 characters."""
-    hay = skills.haystack(F.lit(""), F.lit(""), F.col("text"))
-    found = text.join_list(skills.match_skills(hay, default_skills()))
-    return r.table("documents").select("doc_id", found.alias("found"))
+    return _document_skills(r, skills.haystack(F.lit(""), F.lit(""), F.col("text")))
 
 
 @query(f"SELECT page_id, {O.clean_sql('html', None)} AS cleaned FROM pages")
