@@ -11,8 +11,7 @@ from jobtide.sources.tables import read_mart, read_raw, write_mart
 
 def views(raw: DataFrame) -> dict[str, DataFrame]:
     """The lazy relations, which are never written."""
-    stg = staging.stg_jobs(raw)
-    return {"stg_jobs": stg, "int_jobs_latest": staging.jobs_latest(stg)}
+    return {"stg_jobs": staging.stg_jobs(raw), "int_jobs_latest": staging.jobs_latest(raw)}
 
 
 def build_marts(raw: DataFrame, taxonomy: DataFrame, root: str) -> dict[str, DataFrame]:
@@ -22,7 +21,7 @@ def build_marts(raw: DataFrame, taxonomy: DataFrame, root: str) -> dict[str, Dat
     written fact table, and the trend reads two columns of the raw table.
     """
     stg = staging.stg_jobs(raw)
-    postings = write_mart(marts.fct_job_postings(stg), root, "fct_job_postings")
+    postings = write_mart(marts.fct_job_postings(raw), root, "fct_job_postings")
     mentions = write_mart(
         marts.fct_skill_mentions(postings, taxonomy), root, "fct_skill_mentions"
     )

@@ -1,83 +1,71 @@
 """Mart relations."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as V
-from jobtide.functions.keys import mention_id
+from jobtide.functions.keys import job_identity, mention_id
 from jobtide.functions.numbers import percent, salary_midpoint
 from jobtide.operators.quantiles import exact_quantiles, histogram
 from jobtide.plans.staging import (
-    VERSION_ORDER,
     explode_skills,
+    latest_versions,
+    stg_jobs,
     with_skill_category,
 )
+from jobtide.schemas import FCT_JOB_POSTINGS, RAW
 
 # What the fact table takes from the latest version.  The description, by far
 # the widest column, is not among them and so never leaves the scan.
-_LATEST_COLUMNS = (
-    "source",
-    "external_id",
-    "title",
-    "company",
-    "location_text",
-    "seniority",
-    "role_family",
-    "salary_min_usd",
-    "salary_max_usd",
-    "salary_source",
-    "globally_remote",
-    "mentions_pakistan",
-    "posted_at",
-    "url",
-    "tags",
-    "skills",
-)
+_LATEST_COLUMNS = tuple(c for c in RAW.names if c != "description_text")
 
 
-def _lifecycle():
+def _lifecycle() -> list[Column]:
     """Aggregates over the snapshots of one posting.
 
     The set of dates is bounded by the number of snapshots, however many rows a
     key holds.
     """
+    day = F.col("snapshot_date").cast("date")
     return [
-        F.min("snapshot_date").alias("first_seen_date"),
-        F.max("snapshot_date").alias("last_seen_date"),
-        F.size(F.collect_set("snapshot_date")).cast("long").alias("snapshots_present"),
+        F.min(day).alias("first_seen_date"),
+        F.max(day).alias("last_seen_date"),
+        F.size(F.collect_set(day)).cast("long").alias("snapshots_present"),
     ]
 
 
-def job_lifecycle(stg: DataFrame) -> DataFrame:
+_LIFECYCLE = ("first_seen_date", "last_seen_date", "snapshots_present")
+
+
+def job_lifecycle(raw: DataFrame) -> DataFrame:
     """First and last snapshot and number of snapshots, per job_key."""
-    return stg.groupBy("job_key").agg(*_lifecycle())
+    identity = job_identity(F.col("source"), F.col("external_id")).alias("_identity")
+    seen = raw.groupBy(identity).agg(*_lifecycle())
+    return seen.select(F.md5("_identity").alias("job_key"), *_LIFECYCLE)
 
 
-def fct_job_postings(stg: DataFrame) -> DataFrame:
+def fct_job_postings(raw: DataFrame) -> DataFrame:
     """Latest version plus lifecycle, one row per job_key.
 
     Both parts group by the same key, so they are one aggregation with one
     shuffle instead of a window, an aggregation and a join.
     """
-    held = F.max(F.struct(*VERSION_ORDER, *_LATEST_COLUMNS)).alias("latest")
-    jobs = (
-        stg.where("job_key is not null").groupBy("job_key").agg(held, *_lifecycle())
+    named = raw.where("source is not null and external_id is not null")
+    jobs = latest_versions(named, _LATEST_COLUMNS, _lifecycle()).select(
+        "_latest.*", F.lit(None).cast("string").alias("description_text"), *_LIFECYCLE
     )
-    market_snapshot = stg.agg(F.max("snapshot_date")).scalar()
-    latest = {name: F.col(f"latest.{name}").alias(name) for name in _LATEST_COLUMNS}
+    market_snapshot = raw.agg(F.max(F.col("snapshot_date").cast("date"))).scalar()
     days = F.datediff("last_seen_date", "first_seen_date")
-    return jobs.select(
-        "job_key",
-        *[latest[c] for c in _LATEST_COLUMNS[:10]],
-        salary_midpoint(F.col("latest.salary_min_usd"), F.col("latest.salary_max_usd")).alias(
-            "salary_mid_usd"
-        ),
-        *[latest[c] for c in _LATEST_COLUMNS[10:]],
-        "first_seen_date",
-        "last_seen_date",
-        "snapshots_present",
-        F.greatest(days, F.lit(0)).cast("long").alias("days_listed_observed"),
-        (F.col("last_seen_date") == market_snapshot).alias("is_active"),
+    return (
+        stg_jobs(jobs, *_LIFECYCLE)
+        .withColumns(
+            {
+                "salary_mid_usd": salary_midpoint(F.col("salary_min_usd"), F.col("salary_max_usd")),
+                "days_listed_observed": F.greatest(days, F.lit(0)).cast("long"),
+                "is_active": F.col("last_seen_date") == market_snapshot,
+            }
+        )
+        .select(*FCT_JOB_POSTINGS.names)
     )
 
 

@@ -6,12 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as V
-from jobtide.functions.keys import job_key, mention_id
+from jobtide.functions.keys import job_identity, job_key, mention_id
 from jobtide.functions.text import split_list
-from jobtide.operators.versions import latest_per_key
-
-# Latest version of a posting: last fetched, then last snapshot.
-VERSION_ORDER = ("fetched_at", "snapshot_date")
+from jobtide.schemas import RAW
 
 
 def timestamp_or_null(text: Column) -> Column:
@@ -23,8 +20,19 @@ def timestamp_or_null(text: Column) -> Column:
     return dated.try_cast("timestamp_ntz")
 
 
-def stg_jobs(raw: DataFrame) -> DataFrame:
-    """Typed postings, one row per (source, external_id, snapshot_date)."""
+def _fetched_at() -> Column:
+    return F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at")
+
+
+def _snapshot_date() -> Column:
+    return F.col("snapshot_date").cast("date").alias("snapshot_date")
+
+
+def stg_jobs(raw: DataFrame, *also: str) -> DataFrame:
+    """Typed postings, one row per (source, external_id, snapshot_date).
+
+    ``also`` names further columns to carry along.
+    """
     located = F.lower("location_text")
     return raw.select(
         job_key(F.col("source"), F.col("external_id")).alias("job_key"),
@@ -45,16 +53,41 @@ def stg_jobs(raw: DataFrame) -> DataFrame:
         "salary_source",
         timestamp_or_null(F.col("posted_at")).alias("posted_at"),
         "url",
-        F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"),
-        F.col("snapshot_date").cast("date").alias("snapshot_date"),
+        _fetched_at(),
+        _snapshot_date(),
         located.rlike(V.GLOBALLY_REMOTE).alias("globally_remote"),
         located.rlike(V.MENTIONS_PAKISTAN).alias("mentions_pakistan"),
+        *also,
     )
 
 
-def jobs_latest(stg: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Latest version of each posting, one row per job_key."""
-    return latest_per_key(stg, ["job_key"], VERSION_ORDER, columns)
+# What versions of a posting are ordered by: last fetched, then last snapshot.
+_VERSION_ORDER = ("fetched_at", "snapshot_date")
+
+
+def latest_versions(
+    raw: DataFrame, columns: Sequence[str], aggregates: Sequence[Column] = ()
+) -> DataFrame:
+    """Latest raw version of each posting, beside other aggregates over its versions.
+
+    An aggregate over a struct whose leading fields are the order: each map task
+    sends at most one row per posting, however many rows a posting holds.  The
+    other fields settle ties, so a recomputed task picks the same row again.
+    """
+    held = [c for c in columns if c not in _VERSION_ORDER]
+    picked = F.max(F.struct(_fetched_at(), _snapshot_date(), *held)).alias("_latest")
+    identity = job_identity(F.col("source"), F.col("external_id")).alias("_identity")
+    return raw.groupBy(identity).agg(picked, *aggregates)
+
+
+def jobs_latest(raw: DataFrame) -> DataFrame:
+    """Latest version of each posting, typed; one row per job_key.
+
+    Versions are picked before they are typed: hashing, patterns and timestamps
+    then cost once per posting instead of once per version.
+    """
+    columns = [c for c in RAW.names if c in raw.columns]
+    return stg_jobs(latest_versions(raw, columns).select("_latest.*"))
 
 
 def explode_skills(postings: DataFrame, *keep: str) -> DataFrame:
@@ -75,8 +108,11 @@ def with_skill_category(mentions: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return mentions.join(categories, "skill")
 
 
-def skill_mentions(latest: DataFrame, taxonomy: DataFrame) -> DataFrame:
+def skill_mentions(raw: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """One row per (job_key, skill) of the latest version of each posting."""
+    latest = latest_versions(raw, ["skills"]).select(
+        F.md5("_identity").alias("job_key"), "_latest.skills"
+    )
     return with_skill_category(explode_skills(latest, "job_key"), taxonomy).select(
         mention_id(F.col("job_key"), F.col("skill")).alias("mention_id"),
         "job_key",

@@ -41,17 +41,15 @@ class Relations:
 
     @property
     def latest(self) -> DataFrame:
-        return staging.jobs_latest(self.stg)
+        return staging.jobs_latest(self.raw)
 
     @property
     def fct(self) -> DataFrame:
-        return marts.fct_job_postings(self.stg)
+        return marts.fct_job_postings(self.raw)
 
     @property
     def mentions(self) -> DataFrame:
-        return staging.skill_mentions(
-            staging.jobs_latest(self.stg, ["job_key", "skills"]), self.taxonomy
-        )
+        return staging.skill_mentions(self.raw, self.taxonomy)
 
     @property
     def fct_mentions(self) -> DataFrame:
@@ -116,7 +114,7 @@ def jobs_latest(r: Relations) -> DataFrame:
 
 @query(O.over(("lifecycle",), "SELECT * FROM lifecycle"))
 def job_lifecycle(r: Relations) -> DataFrame:
-    return marts.job_lifecycle(r.stg)
+    return marts.job_lifecycle(r.raw)
 
 
 @query(O.over(("fct",), "SELECT * FROM fct"))

@@ -38,14 +38,14 @@ def shuffles(text):
 
 
 def test_fact_table_has_one_shuffle_and_no_description(stored):
-    text = plan(marts.fct_job_postings(staging.stg_jobs(stored)))
+    text = plan(marts.fct_job_postings(stored))
     assert shuffles(text) == 1
     assert "description_text" not in text
     assert "Window" not in text and "Join" not in text
 
 
 def test_market_snapshot_reads_no_data_column(stored):
-    text = plan(marts.fct_job_postings(staging.stg_jobs(stored)))
+    text = plan(marts.fct_job_postings(stored))
     assert "" in scanned(text)
 
 
@@ -57,7 +57,7 @@ def test_trend_reads_one_data_column(stored):
 
 
 def test_mentions_add_no_shuffle(spark, stored):
-    fct = marts.fct_job_postings(staging.stg_jobs(stored))
+    fct = marts.fct_job_postings(stored)
     text = plan(marts.fct_skill_mentions(fct, default_taxonomy(spark)))
     assert shuffles(text) == 1
     assert "BroadcastHashJoin" in text and "BuildRight" in text
@@ -74,7 +74,7 @@ def test_no_cross_join_anywhere(spark, sf_dir):
 
 def test_reports_prune_to_active_partition(spark, stored, tmp_path):
     fct = write_mart(
-        marts.fct_job_postings(staging.stg_jobs(stored)), str(tmp_path), "fct_job_postings"
+        marts.fct_job_postings(stored), str(tmp_path), "fct_job_postings"
     )
     text = plan(fct.where("is_active").select("role_family"))
     assert "PartitionFilters: [isnotnull(is_active" in text
