@@ -12,7 +12,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -21,7 +20,7 @@ from pyspark.sql import functions as F
 from jobtide.plans import build, reports
 from jobtide.schemas import RAW
 from jobtide.session import build_session
-from jobtide.sources.tables import read_raw, upsert_snapshot
+from jobtide.sources.tables import read_raw, scratch_folder, upsert_snapshot
 from jobtide.sources.taxonomy import default_taxonomy
 from jobtide.verification.postings import raw_postings
 from jobtide.verification.registry import QUERIES, Relations
@@ -42,6 +41,7 @@ HEADLINES = (
     "explorer",
     "dq_unique",
     "dq_salary_sanity",
+    "dq_summary",
     "salary_text_parse",
     "classify_family",
     "extract_skills",
@@ -89,8 +89,7 @@ def main() -> None:
         times[name] = timed(lambda: full(query.build(Relations(spark, sf_dir))))
 
     if not sys.argv[1:]:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        root = tempfile.mkdtemp(prefix="bench-") if shared is None else f"{shared}/bench"
+        root = scratch_folder(spark)
         raw = raw_postings(spark, sf_dir).withColumns(
             {
                 "fetched_at": F.col("fetched_at").cast("timestamp"),

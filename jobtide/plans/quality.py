@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -59,12 +59,15 @@ def salary_anomalies(postings: DataFrame) -> DataFrame:
 
 
 def freshness(raw: DataFrame, now: datetime) -> DataFrame:
-    """Age of the newest row against the two limits, as of ``now`` (UTC)."""
+    """Age of the newest row against the two limits, as of ``now`` (UTC if naive)."""
+    if now.tzinfo:
+        now = now.astimezone(timezone.utc).replace(tzinfo=None)
+    moment = F.lit(str(now)).cast("timestamp_ntz")
     loaded = F.max(F.col("fetched_at").cast("timestamp_ntz"))
-    hours = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.lit(now).cast("timestamp_ntz"))
+    seconds = F.timestamp_diff("SECOND", F.col("max_loaded_at"), moment)
     return (
         raw.agg(loaded.alias("max_loaded_at"))
-        .withColumn("age_days", hours / F.lit(86400.0))
+        .withColumn("age_days", seconds / F.lit(86400.0))
         .withColumn(
             "status",
             F.when(

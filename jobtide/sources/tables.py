@@ -1,5 +1,8 @@
 """Stored tables: raw postings, the daily archive and the marts."""
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +72,15 @@ def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{root}/{name}").select(
         *[F.col(column) for column in schema.names]
     )
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder that every executor reaches, for tables in between.
+
+    Below the shared folder the cluster names; a local one only where none is
+    named, as in tests on one machine.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        return tempfile.mkdtemp(prefix="jobtide-")
+    return f"{shared.rstrip('/')}/jobtide-{uuid.uuid4()}"

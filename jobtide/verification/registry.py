@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as V
 from jobtide.functions import classify, numbers, skills, text
 from jobtide.operators.versions import first_per_key
-from jobtide.plans import ingest, marts, quality, reports, staging
+from jobtide.plans import build, ingest, marts, quality, reports, staging
 from jobtide.sources import boards
+from jobtide.sources.tables import scratch_folder, write_mart
 from jobtide.sources.taxonomy import default_skills, default_taxonomy
 from jobtide.verification import oracles as O
 from jobtide.verification import payloads
@@ -68,15 +69,17 @@ class Relations:
     def trend(self) -> DataFrame:
         return marts.agg_skill_by_snapshot(self.stg)
 
-    def by_name(self) -> dict[str, DataFrame]:
+    def written_fct(self) -> DataFrame:
+        """The fact table as a written one, for queries that read it several times."""
+        return write_mart(self.fct, scratch_folder(self.spark), "fct_job_postings")
+
+    def built(self) -> dict[str, DataFrame]:
+        """All relations, with the marts written."""
         return {
             "raw_job_postings": self.raw,
             "stg_jobs": self.stg,
-            "fct_job_postings": self.fct,
-            "fct_skill_mentions": self.fct_mentions,
-            "agg_skill_demand": self.demand,
-            "agg_skill_by_snapshot": self.trend,
             "skill_taxonomy": self.taxonomy,
+            **build.build_marts(self.raw, self.taxonomy, scratch_folder(self.spark)),
         }
 
 
@@ -161,7 +164,9 @@ def agg_skill_by_snapshot(r: Relations) -> DataFrame:
     )
 )
 def kpi_row(r: Relations) -> DataFrame:
-    return reports.kpi_row(r.fct, r.demand)
+    fct = r.written_fct()
+    mentions = marts.fct_skill_mentions(fct, r.taxonomy)
+    return reports.kpi_row(fct, marts.agg_skill_demand(mentions, fct))
 
 
 @query(O.over(("fct",), "SELECT role_family, count(*) AS n FROM fct WHERE is_active GROUP BY 1"))
@@ -413,7 +418,7 @@ FROM ({union}) c""",
 @query(_summary_sql())
 def dq_summary(r: Relations) -> DataFrame:
     """All 25 checks."""
-    return quality.summary(r.by_name())
+    return quality.summary(r.built())
 
 
 # --- enrichment --------------------------------------------------------------

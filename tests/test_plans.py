@@ -6,7 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobtide.plans import build, marts, staging
-from jobtide.sources.tables import read_mart, read_raw, upsert_snapshot, write_mart
+from jobtide.sources.tables import (
+    read_mart,
+    read_raw,
+    scratch_folder,
+    upsert_snapshot,
+    write_mart,
+)
 from jobtide.sources.taxonomy import default_taxonomy
 from jobtide.schemas import RAW
 from jobtide.verification.postings import raw_postings
@@ -81,6 +87,15 @@ def test_reports_prune_to_active_partition(spark, stored, tmp_path):
     assert scanned(text) == {"role_family:string"}
 
 
+def test_scratch_folder_is_below_the_shared_one(spark):
+    spark.conf.set("spark.checkpoint.dir", "/shared/folder/")
+    try:
+        first, second = scratch_folder(spark), scratch_folder(spark)
+    finally:
+        spark.conf.unset("spark.checkpoint.dir")
+    assert first.startswith("/shared/folder/jobtide-") and first != second
+
+
 def test_snapshot_filter_prunes_partitions(stored):
     text = plan(stored.where("snapshot_date = '2026-01-12' and source = 'jobicy'"))
     assert "PartitionFilters: [isnotnull(snapshot_date" in text
