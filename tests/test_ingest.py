@@ -8,6 +8,8 @@ from jobtide.sources.tables import ensure_raw_table, read_raw
 from jobtide.sources.taxonomy import default_skills, default_taxonomy, read_taxonomy, SEED
 from jobtide.streaming.landing import ingest_landed
 
+NAMED = {"SQL", "Python", "dbt", "Excel", "Snowflake", "Airflow"}
+SKILLS = [skill for skill in default_skills() if skill.skill in NAMED]
 FETCHED = datetime(2026, 9, 7, 9, 0, tzinfo=timezone.utc)
 
 REMOTEOK = [
@@ -70,7 +72,7 @@ class Store:
 
     def run(self, day, fetched=FETCHED):
         return ingest.run_ingestion(
-            self.spark, str(self.landing), self.table, self.archive, day, fetched, default_skills()
+            self.spark, str(self.landing), self.table, self.archive, day, fetched, SKILLS
         )
 
     def rows(self, *columns):
@@ -204,7 +206,7 @@ def test_streamed_landing_equals_batch(store, spark, tmp_path):
     def run():
         checkpoint = str(tmp_path / "checkpoint")
         query = ingest_landed(
-            spark, str(store.landing), store.table, checkpoint, default_skills(), lambda: FETCHED
+            spark, str(store.landing), store.table, checkpoint, SKILLS, lambda: FETCHED
         )
         query.awaitTermination()
 

@@ -1,6 +1,7 @@
 """What the physical plans must look like at scale."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -87,12 +88,10 @@ def test_reports_prune_to_active_partition(spark, stored, tmp_path):
     assert scanned(text) == {"role_family:string"}
 
 
-def test_scratch_folder_is_below_the_shared_one(spark):
-    spark.conf.set("spark.checkpoint.dir", "/shared/folder/")
-    try:
-        first, second = scratch_folder(spark), scratch_folder(spark)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+def test_scratch_folder_is_below_the_shared_one():
+    settings = {"spark.checkpoint.dir": "/shared/folder/"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=settings.get))
+    first, second = scratch_folder(session), scratch_folder(session)
     assert first.startswith("/shared/folder/jobtide-") and first != second
 
 
