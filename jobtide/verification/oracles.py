@@ -282,5 +282,6 @@ ARBEITNOW = _record_sql(
 )
 DEDUPE = over(
     ("raw",),
-    f"SELECT external_id AS id, CAST(feed AS INTEGER) AS feed, title, snapshot_date FROM {_FIRST_WINS} WHERE nth = 1",
+    f"""SELECT external_id AS id, CAST(feed AS INTEGER) AS feed, title, snapshot_date
+FROM {_FIRST_WINS} WHERE nth = 1""",
 )

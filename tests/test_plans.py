@@ -1,12 +1,15 @@
 """What the physical plans must look like at scale."""
 
 import re
+from datetime import datetime
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from jobtide.plans import build, marts, staging
+from jobtide import fixed_values as V
+from jobtide.plans import build, ingest, marts, staging
+from jobtide.sources import boards
 from jobtide.sources.tables import (
     read_mart,
     read_raw,
@@ -14,7 +17,7 @@ from jobtide.sources.tables import (
     upsert_snapshot,
     write_mart,
 )
-from jobtide.sources.taxonomy import default_taxonomy
+from jobtide.sources.taxonomy import default_skills, default_taxonomy
 from jobtide.schemas import RAW
 from jobtide.verification.postings import raw_postings
 
@@ -108,3 +111,17 @@ def test_rebuild_replaces_marts(spark, stored, tmp_path):
     again = read_mart(spark, root, "fct_job_postings")
     assert again.count() < n
     assert {row.source for row in again.select("source").distinct().collect()} == {"jobicy"}
+
+
+@pytest.mark.parametrize(
+    ("board", "expected"), [("remoteok", 0), ("jobicy", 0), ("arbeitnow", 0), ("remotive", 1)]
+)
+def test_ingest_shuffles_only_to_dedupe(spark, board, expected):
+    payloads = spark.createDataFrame([("[]",)], "value string")
+    given = {name: payloads for name in V.REMOTIVE_FEEDS} if board == "remotive" else payloads
+    records = getattr(boards, board)(given)
+    text = plan(ingest.enrich(records, default_skills(), "2026-09-07", datetime(2026, 9, 7)))
+    assert shuffles(text) == expected
+    assert text.count("ArrowEvalPython") == 1
+    # The text is cleaned once, although both the record and the matching use it.
+    assert text.count("<[^>]+>") == 1
