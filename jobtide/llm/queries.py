@@ -6,8 +6,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobtide.llm import decontamination
+from jobtide.llm import bpe, decontamination, jaccard, topk, viterbi
 from jobtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +64,69 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
     return found.drop("text_hash")
+
+
+@query(
+    """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+    AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+)
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query(
+    r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^ 	-]+') AS w FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0
+), sh AS (
+  SELECT DISTINCT doc_id, w[i : i + 3] AS s FROM starts
+), size AS (
+  SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM sh a JOIN sh b ON a.s = b.s WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT x, y FROM common JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y
+  WHERE 100 * k >= 85 * (a.n + b.n - k)
+), reach AS (
+  SELECT x, y FROM link UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x
+), low AS (
+  SELECT x, min(y) AS y FROM reach GROUP BY x
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+  least(d.doc_id, coalesce(low.y, d.doc_id)) AS component_id
+FROM d LEFT JOIN size USING (doc_id) LEFT JOIN low ON low.x = d.doc_id"""
+)
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.token_counts(table(spark, sf_dir, "documents"))
