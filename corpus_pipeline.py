@@ -1,17 +1,53 @@
 """The corpus pipeline: documents in, token ids out."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from jobtide.llm import decontamination
+from jobtide.llm import bpe, decontamination, jaccard, langid, pii
 from jobtide.llm.common import settle, table, workspace
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language the model knows; those without letters go, too."""
+    return langid.known_language(docs)
+
+
+def join_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each group of near copies."""
+    return jaccard.one_of_each(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no span of the benchmark."""
     return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
-STAGES = [("benchmark decontamination", decontaminate)]
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with surrogates for personal data; ``n_chars`` follows the text."""
+    changed = pii.pseudonymized(docs).select(*docs.columns)
+    if "n_chars" not in docs.columns:
+        return changed
+    return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and digests of them and of the text they decode to."""
+    return bpe.encode(docs).select(
+        "doc_id",
+        "n_tokens",
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", join_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("PII surrogates", replace_personal_data),
+    ("BPE encoding", encode),
+]
 
 # No SQL: language prediction and byte-pair encoding cannot be written in it.
 ORACLE_SQL = None
@@ -21,6 +57,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order; each result is written before the next stage reads it."""
     folder = workspace(spark)
     docs = table(spark, sf_dir, "documents")
-    for number, (_, stage) in enumerate(STAGES):
+    for number, (_, stage) in enumerate(STAGES[:-1]):
         docs = settle(stage(spark, docs, sf_dir), folder, f"stage-{number}")
-    return docs
+    return STAGES[-1][1](spark, docs, sf_dir)

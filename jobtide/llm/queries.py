@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import bpe, decontamination, jaccard, topk, viterbi
+from jobtide.llm import bpe, decontamination, jaccard, langid, pii, quality, topk, urls, viterbi, warc
 from jobtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,12 +85,78 @@ def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query()
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = pii.pseudonymized(table(spark, sf_dir, "documents"))
+    return changed.select("doc_id", "text", "n_entities", "kinds")
+
+
+@query()
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
+@query(
+    """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS h FROM pages
+), d AS (
+  SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+    sha256(h) AS payload_digest FROM p
+), f AS (
+  SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)"""
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+@query(
+    r"""
+WITH RECURSIVE rules(verdict, h, p) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+    ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), parts AS (
+  SELECT page_id, url,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*[^?#]*(\??[^#]*)', 1), '') AS query
+  FROM pages
+), fit AS (
+  SELECT host, path, rules.h || rules.p AS rule, verdict,
+    row_number() OVER (PARTITION BY host, path
+      ORDER BY length(rules.h || rules.p) DESC, verdict, rules.h || rules.p) AS n
+  FROM (SELECT DISTINCT host, path FROM parts) x JOIN rules
+    ON (host = rules.h OR ends_with(host, '.' || rules.h)) AND starts_with(path, rules.p)
+)
+SELECT page_id, parts.host, parts.path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN fit ON parts.host = fit.host AND parts.path = fit.path AND n = 1"""
+)
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The pages of the test tables name no other address of themselves, so the SQL has no
+    # aliases; tests/llm checks those on small graphs.
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 @query(
     r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^ 	-]+') AS w FROM documents
+    '[^ 	-
+]+') AS w FROM documents
 ), starts AS (
   SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0
 ), sh AS (
