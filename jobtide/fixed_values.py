@@ -43,8 +43,6 @@ SALARY_FULL_MIN = 20000.0
 
 # --- FIXED VALUES: text handling ---------------------------------------------
 HTML_TAG = r"<[^>]+>"
-DESCRIPTION_CHARS = 12000
-SKILL_TEXT_CHARS = 6000
 LIST_SEPARATOR = ";"
 
 # --- FIXED VALUES: location flags (ASCII word boundaries) --------------------

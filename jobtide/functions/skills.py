@@ -28,9 +28,6 @@ class Skill(NamedTuple):
     case_sensitive: int = 0
 
 
-# The plan holds every pattern; a taxonomy is a hand-kept seed.
-MAX_PLAN_SKILLS = 2000
-
 # The only characters outside ASCII that equal an ASCII letter when case is
 # ignored: dotted and dotless i, long s, the Kelvin sign.
 FOLDING = ("\u0130\u0131\u017f\u212a", "iisk")
@@ -107,11 +104,11 @@ def haystack(
     title: Column,
     tags: Column,
     text: Column,
-    max_chars: int | None = V.SKILL_TEXT_CHARS,
+    max_chars: int | None = None,
 ) -> Column:
-    """Title, tags and the start of the cleaned text, one per line.
+    """Title, tags and the cleaned text, one per line.
 
-    ``tags`` is the joined text.  ``max_chars=None`` takes the whole text.
+    ``tags`` is the joined text.  The whole text counts unless ``max_chars`` is given.
     """
     empty = F.lit("")
     body = text if max_chars is None else F.substring(text, 1, max_chars)
@@ -127,21 +124,9 @@ def haystack(
 def extract_skills(
     df: DataFrame,
     skills: Iterable[Skill],
-    max_chars: int | None = V.SKILL_TEXT_CHARS,
+    max_chars: int | None = None,
     name: str = "skills",
 ) -> DataFrame:
     """Add the ``;``-joined skills of postings."""
     hay = haystack(F.col("title"), F.col("tags"), F.col("description_text"), max_chars)
     return match_skills(df, hay, skills, name).withColumn(name, join_list(F.col(name)))
-
-
-def skill_list(taxonomy: DataFrame) -> list[Skill]:
-    """The taxonomy as plan literals, in file order.
-
-    The rows become part of the query plan, so the driver holds them.  A taxonomy
-    too large for a plan is refused, not cut.
-    """
-    rows = taxonomy.select(*Skill._fields).limit(MAX_PLAN_SKILLS + 1).collect()
-    if len(rows) > MAX_PLAN_SKILLS:
-        raise ValueError(f"a taxonomy of over {MAX_PLAN_SKILLS} skills is not supported")
-    return [Skill(*row) for row in rows]

@@ -62,11 +62,11 @@ def unescape_entities(text: Column) -> Column:
     return F.coalesce(unescape(F.when(text.contains("&"), text)), text)
 
 
-def clean_html(text: Column, max_chars: int | None = V.DESCRIPTION_CHARS) -> Column:
-    """Unescape, drop tags, collapse whitespace, strip, and keep ``max_chars``.
+def clean_html(text: Column, max_chars: int | None = None) -> Column:
+    """Unescape, drop tags, collapse whitespace and strip.
 
     Entities are decoded first, so escaped tags are dropped as well.  NULL gives
-    the empty text.  ``max_chars=None`` keeps the whole text.
+    the empty text.  The whole text is kept unless ``max_chars`` is given.
     """
     spaced = F.regexp_replace(unescape_entities(text), V.HTML_TAG, " ")
     cleaned = F.trim(F.regexp_replace(spaced, java_regex(rf"{WHITESPACE}+"), " "))

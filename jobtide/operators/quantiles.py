@@ -8,6 +8,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+SLICES = 4096
+
+
 def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Distinct values per group, NULL included, with their frequency ``n``."""
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
@@ -31,27 +34,47 @@ def exact_quantiles(
 
     Rows collapse into counts per distinct value before anything else.  A coarse
     pass adds up buckets of values about one percent wide (under 150,000 cover
-    all doubles) and finds those that hold a wanted rank.  A fine pass orders
-    the distinct values of only those buckets.  So a task sees the buckets of a
-    group or the values of a bucket, never a group.
+    all doubles) and finds those that hold a wanted rank.  A second pass does the
+    same for ``SLICES`` even slices of each such bucket, and only the slices that
+    hold a rank are ordered value by value.  So a task sees the buckets of a group,
+    the slices of a bucket or the values of a slice, never a group.
 
-    Both passes read the same counts.  The join is null-safe throughout, so that
-    no filter is inferred for one side only and Spark reuses the one shuffle.
+    The joins are null-safe throughout, so that no filter is inferred for one side
+    only and Spark can reuse a shuffle.
     """
     keys = list(keys)
-    bucket = F.round(F.asinh("_value"), 2)
     counts = histogram(
         df.select(*keys, F.col(value).alias("_value")), keys, "_value"
-    ).withColumn("_bucket", bucket)
+    ).withColumn("_bucket", F.round(F.asinh("_value"), 2))
+
+    def rank(q: float) -> Column:
+        return F.lit(float(q)) * (F.col("_valued") - 1)
+
+    def holds_rank(before: str, end: str) -> Column:
+        return _any(
+            (F.col(before) <= F.ceil(rank(q))) & (F.floor(rank(q)) < F.col(end))
+            for q in quantiles.values()
+        )
+
+    def joined(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
+        right = right.withColumnsRenamed({name: f"_of_{name}" for name in names})
+        same = _all(F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in names)
+        return left.join(right, same).drop(*[f"_of_{name}" for name in names])
 
     group = W.partitionBy(*(keys or [F.lit(0)]))
     valued = F.when(F.col("_bucket").isNotNull(), F.col("_held"))
     buckets = (
         counts.groupBy(*keys, "_bucket")
-        .agg(F.sum("n").alias("_held"))
+        .agg(
+            F.sum("n").alias("_held"),
+            F.min("_value").alias("_least"),
+            F.max("_value").alias("_most"),
+        )
         .select(
             *keys,
             "_bucket",
+            "_least",
+            "_most",
             F.sum(valued).over(group.orderBy("_bucket")).alias("_end"),
             F.col("_held"),
             F.sum("_held").over(group).alias("_rows"),
@@ -59,28 +82,31 @@ def exact_quantiles(
         )
         .withColumn("_before", F.col("_end") - F.col("_held"))
     )
-
-    def rank(q: float) -> Column:
-        return F.lit(float(q)) * (F.col("_valued") - 1)
-
-    holds_rank = _any(
-        (F.col("_before") <= F.ceil(rank(q))) & (F.floor(rank(q)) < F.col("_end"))
-        for q in quantiles.values()
-    )
     # The bucket without value stays, for groups that have no other.
-    holding = buckets.where(F.col("_bucket").isNull() | holds_rank).select(
-        *[F.col(name).alias(f"_of_{name}") for name in (*keys, "_bucket")],
-        "_before",
-        "_rows",
-        "_valued",
+    holding = buckets.where(F.col("_bucket").isNull() | holds_rank("_before", "_end")).drop(
+        "_end", "_held"
     )
-    same_bucket = _all(
-        F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in (*keys, "_bucket")
+    width = F.col("_most") - F.col("_least")
+    place = F.floor((F.col("_value") - F.col("_least")) / width * SLICES)
+    sliced = joined(counts, holding, [*keys, "_bucket"]).withColumn(
+        "_slice", F.when(width > 0, place).otherwise(0)
+    )
+    in_group = [*keys, "_bucket"]
+    slices = (
+        sliced.groupBy(*in_group, "_slice")
+        .agg(F.sum("n").alias("_held"), F.max("_before").alias("_base"), F.max("_valued").alias("_valued"))
+        .withColumn(
+            "_slice_end",
+            F.col("_base") + F.sum("_held").over(W.partitionBy(*in_group).orderBy("_slice")),
+        )
+        .withColumn("_slice_before", F.col("_slice_end") - F.col("_held"))
+        .where(F.col("_bucket").isNull() | holds_rank("_slice_before", "_slice_end"))
+        .select(*in_group, "_slice", "_slice_before")
     )
-    in_bucket = W.partitionBy(*keys, "_bucket").orderBy("_value")
+    in_slice = W.partitionBy(*in_group, "_slice").orderBy("_value")
     ranked = (
-        counts.join(holding, same_bucket)
-        .withColumn("_end", F.col("_before") + F.sum("n").over(in_bucket))
+        joined(sliced, slices, [*in_group, "_slice"])
+        .withColumn("_end", F.col("_slice_before") + F.sum("n").over(in_slice))
         .withColumn("_start", F.col("_end") - F.col("n"))
     )
 

@@ -124,19 +124,18 @@ def agg_salary_benchmarks(postings: DataFrame) -> DataFrame:
     banded = postings.where(F.col("salary_mid_usd").between(*V.SALARY_BAND))
     n = F.col("n")
 
-    def quartile(q: float):
-        return F.round(F.percentile("salary_mid_usd", q, n), 0)
-
+    quartiles = F.percentile("salary_mid_usd", F.array(*map(F.lit, (0.25, 0.5, 0.75))), n)
+    names = ("p25_usd", "median_usd", "p75_usd")
     return (
         histogram(banded, keys, "salary_mid_usd")
         .groupBy(*keys)
-        .agg(
-            F.sum(n).alias("n_postings"),
-            quartile(0.25).alias("p25_usd"),
-            quartile(0.5).alias("median_usd"),
-            quartile(0.75).alias("p75_usd"),
-        )
+        .agg(F.sum(n).alias("n_postings"), quartiles.alias("_quartiles"))
         .where(F.col("n_postings") >= V.MIN_GROUP_SIZE)
+        .select(
+            *keys,
+            "n_postings",
+            *[F.round(F.col("_quartiles")[i], 0).alias(name) for i, name in enumerate(names)],
+        )
     )
 
 

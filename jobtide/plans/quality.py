@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as V
@@ -46,27 +46,39 @@ def orphan_rows(df: DataFrame, column: str, parent: DataFrame, field: str) -> Da
     )
 
 
-def salary_anomalies(postings: DataFrame) -> DataFrame:
-    """Salaries outside the band, inverted, or too wide apart."""
+def _is_anomalous() -> Column:
     low, high = F.col("salary_min_usd"), F.col("salary_max_usd")
     band_low, band_high = V.SALARY_BAND
-    return postings.where(
+    return (
         (low < band_low)
         | (high > band_high)
         | (low > high)
         | (high > low * V.MAX_SALARY_RATIO)
-    ).select("job_key", "title", "salary_min_usd", "salary_max_usd")
+    )
 
 
-def freshness(raw: DataFrame, now: datetime) -> DataFrame:
-    """Age of the newest row against the two limits, as of ``now`` (UTC if naive)."""
-    if now.tzinfo:
-        now = now.astimezone(timezone.utc).replace(tzinfo=None)
-    moment = F.lit(str(now)).cast("timestamp_ntz")
+def salary_anomalies(postings: DataFrame) -> DataFrame:
+    """Salaries outside the band, inverted, or too wide apart."""
+    return postings.where(_is_anomalous()).select(
+        "job_key", "title", "salary_min_usd", "salary_max_usd"
+    )
+
+
+def _naive_utc(moment: datetime) -> datetime:
+    return moment.astimezone(timezone.utc).replace(tzinfo=None) if moment.tzinfo else moment
+
+
+def freshness(raw: DataFrame, *moments: datetime) -> DataFrame:
+    """Age of the newest row against the two limits, as of each moment (UTC if naive).
+
+    The raw table is read once, whatever the number of moments.
+    """
+    asked = F.array(*[F.lit(str(_naive_utc(m))).cast("timestamp_ntz") for m in moments])
     loaded = F.max(F.col("fetched_at").cast("timestamp_ntz"))
-    seconds = F.timestamp_diff("SECOND", F.col("max_loaded_at"), moment)
+    seconds = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("checked_at"))
     return (
         raw.agg(loaded.alias("max_loaded_at"))
+        .select("max_loaded_at", F.explode(asked).alias("checked_at"))
         .withColumn("age_days", seconds / F.lit(86400.0))
         .withColumn(
             "status",
@@ -134,10 +146,17 @@ CHECKS: tuple[Check, ...] = (
 )
 
 
-def _null_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """``check_name`` and ``n_failed`` of all not-null checks in one pass."""
+# Kinds that a condition on single rows decides.
+_BY_ROW = {
+    "not_null": lambda check: F.col(check.column).isNull(),
+    "salary_sanity": lambda check: _is_anomalous(),
+}
+
+
+def _row_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``check_name`` and ``n_failed`` of all checks on single rows, in one pass."""
     counted = df.agg(
-        *[F.count_if(F.col(check.column).isNull()).alias(check.name) for check in checks]
+        *[F.count_if(_BY_ROW[check.kind](check)).alias(check.name) for check in checks]
     )
     return counted.unpivot([], [check.name for check in checks], "check_name", "n_failed")
 
@@ -145,16 +164,17 @@ def _null_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
 def summary(relations: Relations, checks: Sequence[Check] = CHECKS) -> DataFrame:
     """One row per check: name, severity, number of failing rows and status.
 
-    Checks on relations that are not given are left out.  All not-null checks of
-    a relation share one scan.
+    Checks on relations that are not given are left out.  All checks on single
+    rows of a relation share one scan.
     """
     checks = [check for check in checks if check.relation in relations]
+    by_row = [check for check in checks if check.kind in _BY_ROW]
     parts = []
-    for relation in dict.fromkeys(c.relation for c in checks if c.kind == "not_null"):
-        group = [c for c in checks if c.kind == "not_null" and c.relation == relation]
-        parts.append(_null_counts(relations[relation], group))
+    for relation in dict.fromkeys(check.relation for check in by_row):
+        group = [check for check in by_row if check.relation == relation]
+        parts.append(_row_counts(relations[relation], group))
     for check in checks:
-        if check.kind != "not_null":
+        if check not in by_row:
             parts.append(
                 check.failing(relations).agg(
                     F.lit(check.name).alias("check_name"), F.count(F.lit(1)).alias("n_failed")

@@ -74,7 +74,7 @@ def top_skill_trend(
 ) -> DataFrame:
     """Trend rows of the ``k`` most demanded skills, oldest first."""
     top = top_skills(demand, k).select("skill")
-    return trend.join(F.broadcast(top), "skill", "left_semi").orderBy("snapshot_date", "skill")
+    return trend.join(top, "skill", "left_semi").orderBy("snapshot_date", "skill")
 
 
 def best_paid_skills(demand: DataFrame, k: int = V.SALARY_TOP_SKILLS) -> DataFrame:
@@ -151,14 +151,22 @@ def snapshots(raw: DataFrame) -> DataFrame:
 
 
 def raw_stats(raw: DataFrame) -> DataFrame:
-    """Rows, distinct jobs, snapshots, first and last snapshot, one row."""
-    job = F.concat("source", F.lit(":"), "external_id")
-    return raw.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(job).alias("distinct_jobs"),
-        F.count_distinct("snapshot_date").alias("snapshots"),
-        F.min("snapshot_date").alias("first_snap"),
-        F.max("snapshot_date").alias("latest_snap"),
+    """Rows, distinct jobs, snapshots, first and last snapshot, one row.
+
+    All but the jobs come from counts per snapshot, which read no data column of a
+    stored table.  Dates are compared as dates, whose aggregates need no sort.
+    """
+    kind = raw.schema["snapshot_date"].dataType
+    day = F.col("snapshot_date").try_cast("date")
+    by_snapshot = raw.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n"))
+    job = F.concat("source", F.lit(":"), "external_id").alias("job")
+    jobs = raw.select(job).where("job is not null").groupBy("job").agg(F.count(F.lit(1)))
+    return by_snapshot.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        jobs.agg(F.count(F.lit(1))).scalar().alias("distinct_jobs"),
+        F.count("snapshot_date").alias("snapshots"),
+        F.min(day).cast(kind).alias("first_snap"),
+        F.max(day).cast(kind).alias("latest_snap"),
     )
 
 

@@ -107,14 +107,14 @@ MARTS = {
     "agg_skill_by_snapshot": AGG_SKILL_BY_SNAPSHOT,
 }
 
-# Landed payloads: only the fields that are read.  Ids, numbers and dates are
-# read as text because the boards mix JSON numbers and strings.
+# Landed payloads: only the fields that are read, all as text because the boards
+# mix JSON types; sources.payloads makes sense of lists and flags.
 REMOTEOK_JOB = _struct(
     ("id", S),
     ("position", S),
     ("company", S),
     ("location", S),
-    ("tags", T.ArrayType(S)),
+    ("tags", S),
     ("description_generic", S),
     ("salary_min", S),
     ("salary_max", S),
@@ -128,7 +128,7 @@ JOBICY_JOB = _struct(
     ("jobIndustry", S),
     ("companyName", S),
     ("jobGeo", S),
-    ("jobType", T.ArrayType(S)),
+    ("jobType", S),
     ("jobDescription", S),
     ("annualSalaryMin", S),
     ("annualSalaryMax", S),
@@ -153,8 +153,8 @@ ARBEITNOW_JOB = _struct(
     ("title", S),
     ("company_name", S),
     ("location", S),
-    ("remote", B),
-    ("tags", T.ArrayType(S)),
+    ("remote", S),
+    ("tags", S),
     ("description", S),
     ("created_at", S),
     ("url", S),

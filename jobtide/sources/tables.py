@@ -1,6 +1,5 @@
 """Stored tables: raw postings, the daily archive and the marts."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,10 +76,10 @@ def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder that every executor reaches, for tables in between.
 
-    Below the shared folder the cluster names; a local one only where none is
-    named, as in tests on one machine.
+    It lies below the shared folder that the cluster names; without one there is
+    no folder that all are sure to see.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="jobtide-")
+    if not shared:
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
     return f"{shared.rstrip('/')}/jobtide-{uuid.uuid4()}"

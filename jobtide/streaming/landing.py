@@ -3,7 +3,8 @@
 A stream of file paths says which (snapshot, board) pairs have new payloads.
 Each such pair is ingested again from all its landed files, so a payload that
 arrives late, or in a later micro-batch, replaces its partition by the whole and
-never by a part.  Running a micro-batch twice gives the same tables.
+never by a part.  Running a micro-batch twice gives the same tables.  A board that fails
+stops the query after the others are stored, and is taken up again by the next run.
 """
 
 from collections.abc import Callable, Sequence
@@ -33,6 +34,10 @@ def landed_places(files: DataFrame) -> DataFrame:
     )
 
 
+class FailedBoardsError(RuntimeError):
+    """Boards whose payloads could not be read; all others of the batch are stored."""
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -52,11 +57,16 @@ def ingest_landed(
         places: dict[str, list[str]] = {}
         for place in landed_places(files).collect():
             places.setdefault(place.snapshot_date, []).append(place.source)
+        failed = []
         for snapshot_date, sources in sorted(places.items()):
             batches = extract_all(
                 files.sparkSession, landing, snapshot_date, now(), skills, sources
             )
-            store_batches(batches, table)
+            stored = store_batches(batches, table)
+            failed += [(snapshot_date, source) for source in batches if source not in stored.seen]
+        if failed:
+            # The batch is not committed, so the next run takes these places up again.
+            raise FailedBoardsError(failed)
 
     paths = (
         spark.readStream.format("binaryFile")

@@ -85,7 +85,7 @@ def family_sql(title: str) -> str:
 _SPACE = r"[\s\v\x1c-\x1f\x{0085}\pZ]+"
 
 
-def clean_sql(text: str, max_chars: int | None = V.DESCRIPTION_CHARS) -> str:
+def clean_sql(text: str) -> str:
     """Decode the entities that occur, drop tags, collapse whitespace."""
     for entity, character in (
         ("&quot;?", '"'),
@@ -98,8 +98,14 @@ def clean_sql(text: str, max_chars: int | None = V.DESCRIPTION_CHARS) -> str:
     ):
         text = f"regexp_replace({text}, '{entity}', '{character}', 'g')"
     text = f"regexp_replace({text}, '{V.HTML_TAG}', ' ', 'g')"
-    text = f"trim(regexp_replace({text}, '{_SPACE}', ' ', 'g'))"
-    return f"substring({text}, 1, {max_chars})" if max_chars else text
+    return f"trim(regexp_replace({text}, '{_SPACE}', ' ', 'g'))"
+
+
+def anomaly_sql() -> str:
+    """Salaries outside the band, inverted, or too wide apart."""
+    low, high = V.SALARY_BAND
+    return f"""salary_min_usd < {low} OR salary_max_usd > {high}
+  OR salary_min_usd > salary_max_usd OR salary_max_usd > salary_min_usd * {V.MAX_SALARY_RATIO}"""
 
 
 def stripped_sql(text: str) -> str:
@@ -139,14 +145,14 @@ FROM raw""",
     ),
     "fct": (
         ("latest", "lifecycle"),
-        """SELECT a.job_key, source, external_id, title, company, location_text, seniority, role_family,
+        """SELECT job_key, source, external_id, title, company, location_text, seniority, role_family,
   salary_min_usd, salary_max_usd, salary_source,
   round((salary_min_usd + salary_max_usd) / 2.0, 0) AS salary_mid_usd,
   globally_remote, mentions_pakistan, posted_at, url, tags, skills, first_seen_date, last_seen_date,
   snapshots_present, CAST(greatest(last_seen_date - first_seen_date, 0) AS BIGINT)
     AS days_listed_observed,
   last_seen_date = (SELECT max(snapshot_date) FROM stg) AS is_active
-FROM latest a, lifecycle b WHERE a.job_key = b.job_key""",
+FROM latest a JOIN lifecycle b USING (job_key)""",
     ),
     "mentions": (
         ("latest", "skill_taxonomy"),
@@ -154,30 +160,29 @@ FROM latest a, lifecycle b WHERE a.job_key = b.job_key""",
   category AS skill_category
 FROM (SELECT job_key, trim(piece) AS skill
       FROM (SELECT job_key, unnest(string_split(skills, ';')) AS piece FROM latest
-            WHERE skills <> '') p) e, skill_taxonomy t
-WHERE t.skill = e.skill""",
+            WHERE skills <> '') p) e JOIN skill_taxonomy t ON t.skill = e.skill""",
     ),
     "fct_mentions": (
         ("mentions", "fct"),
-        """SELECT mention_id, m.job_key, skill, skill_category, role_family, seniority, salary_mid_usd,
-  globally_remote, is_active, first_seen_date FROM mentions m, fct f WHERE m.job_key = f.job_key""",
+        """SELECT mention_id, job_key, skill, skill_category, role_family, seniority, salary_mid_usd,
+  globally_remote, is_active, first_seen_date FROM mentions m JOIN fct f USING (job_key)""",
     ),
     "demand": (
         ("fct_mentions",),
-        """SELECT skill, skill_category, count(*) AS n_jobs,
+        f"""SELECT skill, skill_category, count(*) AS n_jobs,
   round(100.0 * count(*) / (SELECT count(*) FROM fct WHERE is_active), 1) AS share_of_active_pct,
   round(quantile_cont(salary_mid_usd, 0.5), 0) AS median_salary_mid_usd,
   count(salary_mid_usd) AS n_with_salary
-FROM fct_mentions WHERE is_active GROUP BY skill, skill_category HAVING count(*) > 1""",
+FROM fct_mentions WHERE is_active GROUP BY skill, skill_category HAVING count(*) >= {V.MIN_GROUP_SIZE}""",
     ),
     "benchmarks": (
         ("fct",),
-        """SELECT role_family, seniority, count(*) AS n_postings,
+        f"""SELECT role_family, seniority, count(*) AS n_postings,
   round(quantile_cont(salary_mid_usd, 0.25), 0) AS p25_usd,
   round(quantile_cont(salary_mid_usd, 0.5), 0) AS median_usd,
   round(quantile_cont(salary_mid_usd, 0.75), 0) AS p75_usd
-FROM fct WHERE salary_mid_usd >= 20000 AND salary_mid_usd <= 600000
-GROUP BY role_family, seniority HAVING count(*) > 1""",
+FROM fct WHERE salary_mid_usd BETWEEN {V.SALARY_BAND[0]} AND {V.SALARY_BAND[1]}
+GROUP BY role_family, seniority HAVING count(*) >= {V.MIN_GROUP_SIZE}""",
     ),
     "trend": (
         ("stg",),

@@ -14,13 +14,13 @@ _COLUMNS = {
     "source": """CASE k % 4 WHEN 0 THEN 'remoteok' WHEN 1 THEN 'jobicy'
         WHEN 2 THEN 'remotive' ELSE 'arbeitnow' END""",
     "external_id": "CAST(k AS STRING)",
-    "title": """CASE k % 13 WHEN 0 THEN 'Senior Data Analyst' WHEN 1 THEN 'Analytics Engineer'
+    "title": """CASE WHEN k % 10 = 3 AND n % 2 = 0 THEN 'Copywriter' ELSE CASE k % 13 WHEN 0 THEN 'Senior Data Analyst' WHEN 1 THEN 'Analytics Engineer'
         WHEN 2 THEN ' Machine Learning Lead ' WHEN 3 THEN 'Junior Data Scientist'
         WHEN 4 THEN 'BI Developer' WHEN 5 THEN 'Data Engineer, Analytics'
         WHEN 6 THEN 'Head of Insights' WHEN 7 THEN 'Product Analyst (Intern)'
         WHEN 8 THEN 'Staff ML Scientist, Data' WHEN 9 THEN 'Sr. AI Engineer'
         WHEN 10 THEN 'Marketing Analytics Manager' WHEN 11 THEN 'Data Analysts'
-        ELSE 'Data Engineer' END""",
+        ELSE 'Data Engineer' END END""",
     "company": """CASE WHEN k % 17 = 0 THEN NULL
         ELSE concat('Company ', CAST(k % 40 AS STRING), ' ') END""",
     "location_text": """CASE k % 11 WHEN 0 THEN 'worldwide' WHEN 1 THEN 'Anywhere in the World'
@@ -31,7 +31,9 @@ _COLUMNS = {
         WHEN 3 THEN 'sales;marketing' ELSE 'python' END""",
     "description_text": """CASE k % 6 WHEN 0 THEN 'We use SQL, Python and dbt.'
         WHEN 1 THEN 'R and JavaScript, some Java.' WHEN 2 THEN 'Power BI, github, k8s'
-        WHEN 3 THEN 'pyspark on Databricks; A/B tests' WHEN 4 THEN NULL ELSE '' END""",
+        WHEN 3 THEN 'pyspark on Databricks; A/B tests' WHEN 4 THEN NULL
+        ELSE CASE WHEN k % 90 = 5 THEN concat(repeat('some more words ', 900), 'Snowflake')
+        ELSE '' END END""",
     "salary_text": """CASE k % 12 WHEN 0 THEN '$90k-120k / year' WHEN 1 THEN '$60k - $80k'
         WHEN 2 THEN '60K to 80K' WHEN 3 THEN '$85k+' WHEN 4 THEN '85k'
         WHEN 5 THEN '$45000 to $ 120000' WHEN 6 THEN '$999 or $5000' WHEN 7 THEN '$90,000'
@@ -51,10 +53,26 @@ _COLUMNS = {
     "url": "concat('https://example.com/job/', CAST(k AS STRING))",
     "fetched_at": "CAST(DATE '2026-01-05' + 7 * (n - 1) + INTERVAL 9 HOUR AS {NTZ})",
     "snapshot_date": "DATE '2026-01-05' + 7 * (n - 1)",
-    "skills": """CASE (pk + n) % 9 WHEN 0 THEN 'SQL;Python' WHEN 1 THEN 'dbt; SQL ;Snowflake'
-        WHEN 2 THEN 'SQL;Semantic Layer' WHEN 3 THEN '' WHEN 4 THEN NULL
-        WHEN 5 THEN 'SQL;;Python' WHEN 6 THEN 'R' WHEN 7 THEN 'Spark;Kafka;AWS'
-        ELSE 'Python;Spark;Airflow' END""",
+    # The last piece is one of thirty skills, each more frequent than the one before.
+    "skills": """CASE WHEN (pk + n) % 9 = 3 THEN '' WHEN (pk + n) % 9 = 4 THEN NULL
+        ELSE concat(CASE (pk + n) % 9 WHEN 0 THEN 'SQL;Python' WHEN 1 THEN 'dbt; SQL ;Snowflake'
+        WHEN 2 THEN 'SQL;Semantic Layer' WHEN 5 THEN 'SQL;;Python' WHEN 6 THEN 'R'
+        WHEN 7 THEN 'Spark;Kafka;AWS' ELSE 'Python;Spark;Airflow' END, ';', CASE
+        WHEN (pk * 7 + sk) % 495 < 2 THEN 'SQL' WHEN (pk * 7 + sk) % 495 < 5 THEN 'Python'
+        WHEN (pk * 7 + sk) % 495 < 9 THEN 'R' WHEN (pk * 7 + sk) % 495 < 14 THEN 'Scala'
+        WHEN (pk * 7 + sk) % 495 < 20 THEN 'Java' WHEN (pk * 7 + sk) % 495 < 27 THEN 'dbt'
+        WHEN (pk * 7 + sk) % 495 < 35 THEN 'Airflow' WHEN (pk * 7 + sk) % 495 < 44 THEN 'Dagster'
+        WHEN (pk * 7 + sk) % 495 < 54 THEN 'Prefect' WHEN (pk * 7 + sk) % 495 < 65 THEN 'Spark'
+        WHEN (pk * 7 + sk) % 495 < 77 THEN 'Kafka' WHEN (pk * 7 + sk) % 495 < 90 THEN 'Snowflake'
+        WHEN (pk * 7 + sk) % 495 < 104 THEN 'BigQuery' WHEN (pk * 7 + sk) % 495 < 119 THEN 'Redshift'
+        WHEN (pk * 7 + sk) % 495 < 135 THEN 'Databricks' WHEN (pk * 7 + sk) % 495 < 152 THEN 'DuckDB'
+        WHEN (pk * 7 + sk) % 495 < 170 THEN 'PostgreSQL' WHEN (pk * 7 + sk) % 495 < 189 THEN 'MySQL'
+        WHEN (pk * 7 + sk) % 495 < 209 THEN 'MongoDB' WHEN (pk * 7 + sk) % 495 < 230 THEN 'Tableau'
+        WHEN (pk * 7 + sk) % 495 < 252 THEN 'Power BI' WHEN (pk * 7 + sk) % 495 < 275 THEN 'Looker'
+        WHEN (pk * 7 + sk) % 495 < 299 THEN 'Metabase' WHEN (pk * 7 + sk) % 495 < 324 THEN 'Excel'
+        WHEN (pk * 7 + sk) % 495 < 350 THEN 'Plotly' WHEN (pk * 7 + sk) % 495 < 377 THEN 'Streamlit'
+        WHEN (pk * 7 + sk) % 495 < 405 THEN 'AWS' WHEN (pk * 7 + sk) % 495 < 434 THEN 'GCP'
+        WHEN (pk * 7 + sk) % 495 < 464 THEN 'Azure' WHEN (pk * 7 + sk) % 495 < 495 THEN 'Docker' END) END""",
     "seniority": """CASE k % 4 WHEN 0 THEN 'senior' WHEN 1 THEN 'mid' WHEN 2 THEN 'junior'
         ELSE 'intern' END""",
     "role_family": """CASE k % 5 WHEN 0 THEN 'Data Analyst' WHEN 1 THEN 'Data Engineer'

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as V
 from jobtide.functions import classify, numbers, skills, text
 from jobtide.operators.versions import first_per_key
-from jobtide.plans import build, ingest, marts, quality, reports, staging
+from jobtide.plans import marts, quality, reports, staging
+from jobtide.schemas import RAW
 from jobtide.sources import boards
-from jobtide.sources.tables import scratch_folder, write_mart
+from jobtide.sources.tables import archive_snapshot, read_raw, scratch_folder, upsert_snapshot
 from jobtide.sources.taxonomy import default_skills, default_taxonomy
 from jobtide.verification import oracles as O
 from jobtide.verification import payloads
@@ -69,17 +70,28 @@ class Relations:
     def trend(self) -> DataFrame:
         return marts.agg_skill_by_snapshot(self.stg)
 
-    def written_fct(self) -> DataFrame:
-        """The fact table as a written one, for queries that read it several times."""
-        return write_mart(self.fct, scratch_folder(self.spark), "fct_job_postings")
-
-    def built(self) -> dict[str, DataFrame]:
-        """All relations, with the marts written."""
+    @property
+    def stored_batch(self) -> DataFrame:
+        """The postings with the types of the stored table."""
+        return self.raw.withColumns(
+            {
+                "fetched_at": F.col("fetched_at").cast("timestamp"),
+                "snapshot_date": F.col("snapshot_date").cast("string"),
+            }
+        ).select(*RAW.names)
+
+    def relations(self) -> dict[str, DataFrame]:
+        """All relations that checks read, none of them written."""
+        fct = self.fct
+        mentions = marts.fct_skill_mentions(fct, self.taxonomy)
         return {
             "raw_job_postings": self.raw,
             "stg_jobs": self.stg,
             "skill_taxonomy": self.taxonomy,
-            **build.build_marts(self.raw, self.taxonomy, scratch_folder(self.spark)),
+            "fct_job_postings": fct,
+            "fct_skill_mentions": mentions,
+            "agg_skill_demand": marts.agg_skill_demand(mentions, fct),
+            "agg_skill_by_snapshot": self.trend,
         }
 
 
@@ -164,7 +176,7 @@ def agg_skill_by_snapshot(r: Relations) -> DataFrame:
     )
 )
 def kpi_row(r: Relations) -> DataFrame:
-    fct = r.written_fct()
+    fct = r.fct
     mentions = marts.fct_skill_mentions(fct, r.taxonomy)
     return reports.kpi_row(fct, marts.agg_skill_demand(mentions, fct))
 
@@ -347,8 +359,8 @@ def dq_relationships(r: Relations) -> DataFrame:
     O.over(
         ("fct",),
         """SELECT job_key, title, salary_min_usd, salary_max_usd FROM fct
-WHERE salary_min_usd < 20000 OR salary_max_usd > 600000 OR salary_min_usd > salary_max_usd
-  OR salary_max_usd / 4 > salary_min_usd""",
+WHERE """
+        + O.anomaly_sql(),
     )
 )
 def dq_salary_sanity(r: Relations) -> DataFrame:
@@ -369,40 +381,62 @@ FROM (SELECT max(fetched_at) AS max_loaded_at FROM raw) m, (VALUES (8), (10), (1
 )
 def dq_freshness(r: Relations) -> DataFrame:
     """As of three fixed moments after the last fetch."""
-    cases = [
-        quality.freshness(r.raw, _LAST_FETCH + timedelta(days=age)).withColumn(
-            "age_limit_case", F.lit(age)
-        )
-        for age in _AGES
-    ]
-    return cases[0].unionByName(cases[1]).unionByName(cases[2])
-
-
-def _summary_sql() -> str:
-    relation = {
-        "raw_job_postings": "raw",
-        "stg_jobs": "stg",
-        "fct_job_postings": "fct",
-        "fct_skill_mentions": "fct_mentions",
-        "agg_skill_demand": "demand",
-        "agg_skill_by_snapshot": "trend",
+    found = quality.freshness(r.raw, *[_LAST_FETCH + timedelta(days=age) for age in _AGES])
+    return found.select(
+        F.col("age_days").cast("int").alias("age_limit_case"), "max_loaded_at", "age_days", "status"
+    )
+
+
+_CHECKED = {
+    "raw_job_postings": "raw",
+    "stg_jobs": "stg",
+    "fct_job_postings": "fct",
+    "fct_skill_mentions": "fct_mentions",
+    "agg_skill_demand": "demand",
+    "agg_skill_by_snapshot": "trend",
+}
+
+
+def _columns(relation: str, *kinds: str) -> list[str]:
+    found = [c.column for c in quality.CHECKS if c.relation == relation and c.kind in kinds]
+    return list(dict.fromkeys(found))
+
+
+def _planted(relation: str, df: DataFrame) -> DataFrame:
+    """The relation with every row twice, once with nulls and once with odd values."""
+    nulls = {
+        c: F.lit(None).cast(df.schema[c].dataType) for c in _columns(relation, "not_null")
     }
+    odd = {c: F.lit("odd") for c in _columns(relation, "accepted_values", "relationships")}
+    return df.unionByName(df).unionByName(df.withColumns(nulls)).unionByName(df.withColumns(odd))
+
+
+def _planted_sql(relation: str) -> str:
+    name = _CHECKED[relation]
+    nulls = ", ".join(f"NULL AS {c}" for c in _columns(relation, "not_null"))
+    odd = ", ".join(f"'odd' AS {c}" for c in _columns(relation, "accepted_values", "relationships"))
+    kinds = [f"SELECT * FROM {name}"] * 2 + [f"SELECT * REPLACE ({nulls}) FROM {name}"]
+    kinds.append(f"SELECT * REPLACE ({odd}) FROM {name}" if odd else f"SELECT * FROM {name}")
+    return "(" + " UNION ALL ".join(kinds) + ")"
+
+
+def _summary_sql(relation) -> str:
+    """All checks; ``relation`` gives the SQL of a checked relation."""
     parts = []
     for check in quality.CHECKS:
-        name, column = relation[check.relation], check.column
+        name, column = relation(check.relation), check.column
         if check.kind == "not_null":
-            failed = f"SELECT 1 FROM {name} WHERE {column} IS NULL"
+            failed = f"SELECT 1 FROM {name} x WHERE {column} IS NULL"
         elif check.kind == "unique":
-            failed = f"""SELECT {column} FROM {name} WHERE {column} IS NOT NULL
+            failed = f"""SELECT {column} FROM {name} x WHERE {column} IS NOT NULL
                 GROUP BY 1 HAVING count(*) > 1"""
         elif check.kind == "accepted_values":
             accepted = ", ".join(map(O.quoted, check.accepted))
-            failed = f"SELECT DISTINCT {column} FROM {name} WHERE {column} NOT IN ({accepted})"
+            failed = f"SELECT DISTINCT {column} FROM {name} x WHERE {column} NOT IN ({accepted})"
         elif check.kind == "relationships":
-            failed = f"SELECT 1 FROM {name} WHERE {column} NOT IN (SELECT skill FROM skill_taxonomy)"
+            failed = f"SELECT 1 FROM {name} x WHERE {column} NOT IN (SELECT skill FROM skill_taxonomy)"
         else:
-            failed = f"""SELECT 1 FROM {name} WHERE salary_min_usd < 20000 OR salary_max_usd > 600000
-                OR salary_min_usd > salary_max_usd OR salary_max_usd > 4 * salary_min_usd"""
+            failed = f"SELECT 1 FROM {name} x WHERE {O.anomaly_sql()}"
         parts.append(
             f"SELECT '{check.name}' AS check_name, '{check.severity}' AS severity, "
             f"(SELECT count(*) FROM ({failed}) f) AS n_failed"
@@ -415,10 +449,18 @@ FROM ({union}) c""",
     )
 
 
-@query(_summary_sql())
+@query(_summary_sql(_CHECKED.__getitem__))
 def dq_summary(r: Relations) -> DataFrame:
     """All 25 checks."""
-    return quality.summary(r.built())
+    return quality.summary(r.relations())
+
+
+@query(_summary_sql(_planted_sql))
+def dq_summary_planted(r: Relations) -> DataFrame:
+    """All 25 checks where each has something to find."""
+    relations = r.relations()
+    planted = {name: _planted(name, relations[name]) for name in _CHECKED}
+    return quality.summary(relations | planted)
 
 
 # --- enrichment --------------------------------------------------------------
@@ -521,23 +563,30 @@ def extract_skills_whole_text(r: Relations) -> DataFrame:
     return _document_skills(r, F.col("text"))
 
 
-@query(f"SELECT doc_id, {O.skills_sql('substring(text, 1, 6000)')} AS found FROM documents")
+@query(
+    f"""SELECT doc_id, {O.skills_sql("concat(source, chr(10), lang, ' R', chr(10), text)")} AS found
+FROM documents"""
+)
 def extract_skills_window(r: Relations) -> DataFrame:
-    """As stored with a posting: the operator looks at the first 6000 characters."""
-    return _document_skills(r, skills.haystack(F.lit(""), F.lit(""), F.col("text")))
+    """As stored with a posting: title, tags and the whole text in one window."""
+    tags = F.concat("lang", F.lit(";R"))
+    return _document_skills(r, skills.haystack(F.col("source"), tags, F.col("text")))
 
 
-@query(f"SELECT page_id, {O.clean_sql('html', None)} AS cleaned FROM pages")
+@query(f"SELECT page_id, {O.clean_sql('html')} AS cleaned FROM pages")
 def html_clean(r: Relations) -> DataFrame:
     """Whole pages as plain text."""
-    cleaned = text.clean_html(F.col("html"), max_chars=None)
-    return r.table("pages").select("page_id", cleaned.alias("cleaned"))
+    return r.table("pages").select("page_id", text.clean_html(F.col("html")).alias("cleaned"))
 
 
-@query(f"SELECT page_id, {O.clean_sql('html')} AS cleaned FROM pages")
+@query(f"SELECT page_id, {O.clean_sql('html')} AS cleaned, '' AS tags FROM pages")
 def html_clean_stored(r: Relations) -> DataFrame:
-    """As stored with a posting: at most 12000 characters."""
-    return r.table("pages").select("page_id", text.clean_html(F.col("html")).alias("cleaned"))
+    """As stored with a posting: whole pages as descriptions, beside a NULL list."""
+    return r.table("pages").select(
+        "page_id",
+        text.clean_html(F.col("html")).alias("cleaned"),
+        text.join_list(F.lit(None).cast("array<string>")).alias("tags"),
+    )
 
 
 # --- sources and ingest ------------------------------------------------------
@@ -572,18 +621,57 @@ def dedupe_first_wins(r: Relations) -> DataFrame:
     return first_per_key(early.unionByName(late), ["id"], ["feed", "snapshot_date"])
 
 
+_STORED = ", ".join(
+    {
+        "fetched_at": "CAST(fetched_at AS TIMESTAMPTZ) AS fetched_at",
+        "snapshot_date": "CAST(snapshot_date AS VARCHAR) AS snapshot_date",
+    }.get(name, name)
+    for name in RAW.names
+)
+_RERUN = """source IN ('remoteok', 'jobicy') AND snapshot_date =
+  (SELECT max(snapshot_date) FROM raw)"""
+
+
 @query(
     O.over(
         ("raw",),
-        """SELECT * REPLACE (CASE WHEN source IN ('remoteok', 'jobicy') AND snapshot_date =
-  (SELECT max(snapshot_date) FROM raw) THEN concat(title, ' (updated)') ELSE title END AS title) FROM raw""",
+        f"""SELECT {_STORED} FROM (SELECT * REPLACE (
+  CASE WHEN {_RERUN} THEN concat(title, ' (updated)') ELSE title END AS title) FROM raw
+  WHERE NOT ({_RERUN}) OR CAST(external_id AS BIGINT) % 3 <> 0) r""",
     )
 )
 def snapshot_upsert(r: Relations) -> DataFrame:
-    """State after a second run of the last snapshot that reached two boards."""
-    raw = r.raw
-    last = raw.agg(F.max("snapshot_date")).scalar()
-    rerun = raw.where(
-        (F.col("snapshot_date") == last) & F.col("source").isin("remoteok", "jobicy")
+    """The stored table after a second run of the last snapshot that reached two boards.
+
+    The second run has other titles, and fewer rows.
+    """
+    path = f"{scratch_folder(r.spark)}/raw"
+    batch = r.stored_batch
+    upsert_snapshot(batch, path)
+    last = batch.agg(F.max("snapshot_date")).scalar()
+    rerun = batch.where(
+        (F.col("snapshot_date") == last)
+        & F.col("source").isin("remoteok", "jobicy")
+        & (F.col("external_id").cast("bigint") % 3 != 0)
     ).withColumn("title", F.concat("title", F.lit(" (updated)")))
-    return ingest.upserted(raw, rerun)
+    upsert_snapshot(rerun, path)
+    return read_raw(r.spark, path)
+
+
+@query(
+    O.over(
+        ("raw",),
+        f"""SELECT {_STORED} FROM raw WHERE snapshot_date < (SELECT max(snapshot_date) FROM raw)
+  OR source = 'arbeitnow'""",
+    )
+)
+def snapshot_archive(r: Relations) -> DataFrame:
+    """The archive after the last day was written again with one board only."""
+    path = f"{scratch_folder(r.spark)}/archive"
+    batch = r.stored_batch
+    archive_snapshot(batch, path)
+    last = batch.agg(F.max("snapshot_date")).scalar()
+    archive_snapshot(
+        batch.where((F.col("snapshot_date") == last) & (F.col("source") == "arbeitnow")), path
+    )
+    return read_raw(r.spark, path)

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -11,15 +12,17 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        os.environ.get("TEST_MASTER", "local[8]"),
         **{
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            # One process, so any folder is a shared one.
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("OFF")

@@ -2,8 +2,10 @@ import json
 from datetime import datetime, timezone
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobtide.plans import build, ingest, reports
+from jobtide.schemas import RAW
 from jobtide.sources.tables import ensure_raw_table, read_raw
 from jobtide.sources.taxonomy import default_skills, default_taxonomy, read_taxonomy, SEED
 from jobtide.streaming.landing import ingest_landed
@@ -149,6 +151,51 @@ def test_failed_source_is_skipped_and_keeps_its_rows(store, spark):
     assert "jobicy" not in {row.source for row in archived}
 
 
+def test_write_errors_are_not_taken_for_a_bad_payload(store, spark):
+    batch = spark.range(1).selectExpr("CAST(raise_error('disk full') AS STRING) AS title")
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in RAW if f.name != "title"]
+    with pytest.raises(Exception, match="disk full"):
+        ingest.store_batches({"jobicy": batch.select("title", *columns)}, store.table)
+
+
+def test_odd_fields_cost_no_board(store):
+    land(store.landing, "2026-09-07", "jobicy", {"jobs": [
+        {"id": 1, "jobTitle": "Data Analyst", "jobType": "full-time"},
+        "text", {"id": 2, "jobTitle": "Data Engineer", "jobType": ["a", "b"], "jobGeo": ["x"]},
+    ]})
+    land(store.landing, "2026-09-07", "arbeitnow", {"data": [
+        {"slug": "s", "title": "Data Analyst", "remote": "yes", "created_at": 1767600000.7, "tags": "x"},
+        {"slug": "t", "title": "Data Analyst", "remote": 0, "created_at": "soon", "tags": None},
+        {"slug": "u", "title": "Data Analyst", "created_at": 1e300, "tags": {"a": 1}},
+    ]})
+    land(store.landing, "2026-09-07", "remoteok", [{}, {"id": 9, "position": "Data Analyst", "tags": "sql"}])
+    assert store.run("2026-09-07").counts == {"remoteok": 1, "jobicy": 2, "arbeitnow": 3}
+    rows = store.rows("external_id", "tags", "location_text", "posted_at")
+    assert rows[:2] == [("1", "full-time;", "worldwide", None), ("2", "a;b;", '["x"]', None)]
+    assert rows[2] == ("9", "sql", "worldwide", None)
+    assert rows[3] == ("s", "x", "remote", "2026-01-05T08:00:00+00:00")
+    assert rows[4] == ("t", "", "", None) and rows[5][3] is None
+
+
+def test_first_listing_wins_over_pages(store):
+    page = lambda title: {"jobs": [{"id": 1, "title": title}]}
+    land(store.landing, "2026-09-07", "remotive", page("Data Engineer"), page("Copywriter"), feed="data")
+    land(store.landing, "2026-09-14", "remotive", page("Copywriter"), page("Data Engineer"), feed="data")
+    land(store.landing, "2026-09-14", "remoteok", REMOTEOK)
+    for day in ("2026-09-07", "2026-09-14"):
+        land(store.landing, day, "remotive", {"jobs": []}, feed="software-dev")
+        store.run(day)
+    found = [row for row in store.rows("snapshot_date", "source", "title") if row[1] == "remotive"]
+    assert found == [("2026-09-07", "remotive", "Data Engineer")]
+
+
+def test_long_descriptions_are_kept_and_matched(store):
+    text = "words " * 5000 + "Snowflake"
+    land(store.landing, "2026-09-07", "jobicy", {"jobs": [{"id": 1, "jobTitle": "Data Analyst", "jobDescription": text}]})
+    store.run("2026-09-07")
+    assert store.rows("description_text", "skills") == [(text, "Snowflake")]
+
+
 def test_missing_and_empty_sources(store):
     land(store.landing, "2026-09-07", "remoteok", REMOTEOK)
     land(store.landing, "2026-09-07", "jobicy", {"jobs": []})
@@ -176,7 +223,14 @@ def test_raw_table_and_reports(store, spark):
     assert spark.table("raw_by_name").count() == 7
     stats = reports.raw_stats(read_raw(spark, store.table)).first()
     assert tuple(stats) == (7, 7, 1, "2026-09-07", "2026-09-07")
-    assert reports.preview(read_raw(spark, store.table)).count() == 7
+    land_all(store.landing, "2026-09-14")
+    result = ingest.run_ingestion(
+        spark, str(store.landing), store.table, store.archive, "2026-09-14", FETCHED, SKILLS,
+        name="raw_by_name",
+    )
+    assert spark.table("raw_by_name").count() == 14
+    assert tuple(result.stats) == (14, 7, 2, "2026-09-07", "2026-09-14")
+    assert reports.preview(read_raw(spark, store.table)).count() == 8
     spark.sql("DROP TABLE raw_by_name")
 
 
@@ -223,18 +277,27 @@ def test_streamed_landing_equals_batch(store, spark, tmp_path):
     assert {row[0] for row in store.rows("external_id")} == {"1", "2", "a-1", "a-2"}
 
 
+def test_streamed_board_that_fails_is_taken_up_again(store, spark, tmp_path):
+    def run():
+        query = ingest_landed(
+            spark, str(store.landing), store.table, str(tmp_path / "c"), SKILLS, lambda: FETCHED
+        )
+        query.awaitTermination()
+
+    day = "2026-09-07"
+    land(store.landing, day, "remoteok", REMOTEOK)
+    land(store.landing, day, "jobicy", "<html>down</html>")
+    with pytest.raises(Exception, match="jobicy"):
+        run()
+    assert {row[0] for row in store.rows("source")} == {"remoteok"}
+    land(store.landing, day, "jobicy", JOBICY)
+    run()
+    assert {row[0] for row in store.rows("source")} == {"remoteok", "jobicy"}
+
+
 def test_taxonomy_file(spark):
     read = read_taxonomy(spark, str(SEED)).collect()
     assert [tuple(row) for row in read] == [tuple(row) for row in default_skills()]
     assert len(read) == 51
     shown = reports.taxonomy_list(default_taxonomy(spark))
     assert shown.columns == ["skill", "category"] and shown.count() == 51
-
-
-def test_upserted_relation(spark):
-    raw = spark.createDataFrame(
-        [("d1", "a", 1), ("d1", "b", 2), ("d2", "a", 3)], "snapshot_date string, source string, v int"
-    )
-    batch = spark.createDataFrame([("d1", "a", 9)], raw.schema)
-    rows = ingest.upserted(raw, batch).collect()
-    assert sorted(tuple(row) for row in rows) == [("d1", "a", 9), ("d1", "b", 2), ("d2", "a", 3)]

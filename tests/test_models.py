@@ -273,3 +273,16 @@ def test_freshness(spark):
         for days in (9, 10, 16, 17)
     }
     assert found == {9: "pass", 10: "warn", 16: "warn", 17: "error"}
+
+
+def test_quantiles_order_no_crowded_bucket_in_one_task(spark):
+    """200,000 values within a fifth of a percent: the median needs few of them in order."""
+    df = spark.range(200_000).selectExpr("CAST(1000000 + id / 100 AS DOUBLE) AS v")
+    found = exact_quantiles(df, [], "v", {"median": 0.5, "p99": 0.99})
+    row = found.first()
+    assert row["median"] == pytest.approx(np.median(1000000 + np.arange(200_000) / 100))
+    assert row["p99"] == pytest.approx(np.quantile(1000000 + np.arange(200_000) / 100, 0.99))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    # Values are only ever ordered within a slice.
+    windows = [line for line in text.splitlines() if "windowspecdefinition" in line and "_value#" in line]
+    assert windows and all("_slice#" in line for line in windows if "_value#" in line)

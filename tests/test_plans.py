@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobtide import fixed_values as V
-from jobtide.plans import build, ingest, marts, staging
+from jobtide.plans import build, ingest, marts, quality, reports, staging
 from jobtide.sources import boards
 from jobtide.sources.tables import (
     read_mart,
@@ -76,12 +76,37 @@ def test_mentions_add_no_shuffle(spark, stored):
 def test_no_cross_join_anywhere(spark, sf_dir):
     import __spark_entry__ as entry
 
-    for name, query in entry.queries().items():
-        text = plan(query(spark, sf_dir))
+    for name in entry.QUERIES:
+        text = plan(entry.queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in text, name
         assert "NestedLoop" not in text, name
 
 
+def test_raw_stats_neither_expands_nor_sorts(stored):
+    text = plan(reports.raw_stats(stored))
+    assert "Expand" not in text and "SortAggregate" not in text
+    # The counts per snapshot read no data column.
+    assert "" in scanned(text)
+
+
+def test_benchmarks_hold_one_value_map(stored):
+    text = plan(marts.agg_salary_benchmarks(marts.fct_job_postings(stored)))
+    assert "partial_percentile" in text
+    assert max(line.count("partial_percentile(") for line in text.splitlines()) == 1
+
+
+def test_freshness_reads_raw_once(stored):
+    moments = [datetime(2026, 9, day) for day in (1, 2, 3)]
+    text = plan(quality.freshness(stored, *moments))
+    assert text.count("FileScan") == 1
+
+
+def test_scratch_needs_a_shared_folder():
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session)
+
+
 def test_reports_prune_to_active_partition(spark, stored, tmp_path):
     fct = write_mart(
         marts.fct_job_postings(stored), str(tmp_path), "fct_job_postings"
@@ -117,7 +142,7 @@ def test_rebuild_replaces_marts(spark, stored, tmp_path):
     ("board", "expected"), [("remoteok", 0), ("jobicy", 0), ("arbeitnow", 0), ("remotive", 1)]
 )
 def test_ingest_shuffles_only_to_dedupe(spark, board, expected):
-    payloads = spark.createDataFrame([("[]",)], "value string")
+    payloads = spark.createDataFrame([("[]", "p")], "value string, page string")
     given = {name: payloads for name in V.REMOTIVE_FEEDS} if board == "remotive" else payloads
     records = getattr(boards, board)(given)
     text = plan(ingest.enrich(records, default_skills(), "2026-09-07", datetime(2026, 9, 7)))
