@@ -124,7 +124,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     r"""
-WITH RECURSIVE rules(verdict, h, p) AS (
+WITH rules(verdict, h, p) AS (
   VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
     ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
 ), parts AS (
