@@ -15,6 +15,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -22,7 +23,8 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 
 PIECE_CHARS = 1 << 20  # longer texts are worked on in pieces, cut at blanks
 BATCH_CHARS = 1 << 21  # texts of a batch whose words are looked up together
-CACHED_CHUNKS = 200_000  # the cache starts anew beyond
+CACHED_CHUNKS = 300_000  # beyond, a cache keeps what the batch at hand uses
+_BASE = 1 << 20  # above every id: a pair of ids is one number
 # From here on engines differ in the characters their Unicode version knows.
 _RECENT = regex.compile("[\u0530-\U0010ffff]").search
 # Blanks to ``str.split`` but not to the tokenizer.
@@ -80,80 +82,117 @@ class Tokenizer:
         self.end = model["end_of_word_suffix"] or ""
         by_id = {i: token for token, i in (self.vocab | self.special).items()}
         self.shown = [by_id.get(i) for i in range(max(by_id) + 1)]
-        self.merges = {}
-        made = {}
+        # Ranks by pair, a pair being one number; what a rank makes.
+        self.merges: dict[int, int] = {}
+        self.results: list[int] = []
+        made: dict[int, int] = {}
         for rank, (left, right) in enumerate(model["merges"]):
-            pair, new = (self.vocab[left], self.vocab[right]), self.vocab[left + right]
-            self.merges.setdefault(pair, (rank, new))
+            a, b, new = self.vocab[left], self.vocab[right], self.vocab[left + right]
+            if max(made.get(a, -1), made.get(b, -1)) >= rank:
+                raise ValueError("a merge precedes the one that makes its parts")
+            self.merges.setdefault(a * _BASE + b, rank)
+            self.results.append(new)
             made.setdefault(new, rank)
-        if any(made.get(part, -1) >= rank for pair, (rank, _) in self.merges.items() for part in pair):
-            raise ValueError("a merge precedes the one that makes its parts")
+        pairs = sorted(self.merges)
+        self.pairs = np.array(pairs, np.int64)
+        self.ranks = np.array([self.merges[pair] for pair in pairs], np.int64)
         characters = _byte_characters()
-        self.inner = [self.vocab[c] for c in characters]
-        self.last = [self.vocab[c + self.end] for c in characters]
+        self.inner = np.array([self.vocab[c] for c in characters], np.int64)
+        self.last = np.array([self.vocab[c + self.end] for c in characters], np.int64)
         self.known: dict[str, bytes] = {}
-
-    def merge_all(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word."""
-        symbols: list[int] = []
-        starts = []
-        for word in words:
-            starts.append(len(symbols))
-            symbols += [self.inner[b] for b in word.encode()]
-            symbols[-1] = self.last[word.encode()[-1]]
-            symbols.append(-1)  # no pair crosses a word
+        self.known_words: dict[str, bytes] = {}
+
+    def merge_all(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, packed."""
+        coded = [word.encode() for word in words]
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+        raw = np.frombuffer(b"".join(coded), np.uint8)
+        ends = np.cumsum(sizes)
+        start = self.inner[raw]
+        start[ends - 1] = self.last[raw[ends - 1]]
+        # A border after each word, which no pair crosses.
+        border = ends + np.arange(len(coded))
+        grown = np.full(len(raw) + len(coded), -1, np.int64)
+        kept = np.ones(len(grown), bool)
+        kept[border] = False
+        grown[kept] = start
+
+        # The index: places by rank.
+        first, second = grown[:-1], grown[1:]
+        pairs = np.where((first >= 0) & (second >= 0), first * _BASE + second, -1)
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        found = np.flatnonzero(self.pairs[at] == pairs)
+        ranks = self.ranks[at[found]]
+        order = np.argsort(ranks, kind="stable")
+        found, ranks = found[order], ranks[order]
+        cuts = np.flatnonzero(np.r_[True, ranks[1:] != ranks[:-1]][: len(ranks)])
+        places = {
+            int(ranks[low]): part.tolist()
+            for low, part in zip(cuts, np.split(found, cuts[1:]), strict=True)
+        } if len(ranks) else {}
+
+        symbols = grown.tolist()
         after = list(range(1, len(symbols) + 1))
         before = list(range(-1, len(symbols) - 1))
-        merges = self.merges
-        places: dict[int, list[int]] = {}
-        for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)):
-            if found := merges.get(pair):
-                places.setdefault(found[0], []).append(i)
+        merges, results = self.merges.get, self.results
         active = list(places)
         heapq.heapify(active)
         while active:
             rank = heapq.heappop(active)
-            for i in sorted(places.pop(rank)):
+            here = places.pop(rank)
+            new = results[rank]
+            for i in sorted(here) if len(here) > 1 else here:
                 left = symbols[i]
                 if left < 0:
                     continue  # merged into its left neighbour
                 j = after[i]
-                found = merges.get((left, symbols[j]))
-                if not found or found[0] != rank:
+                if merges(left * _BASE + symbols[j]) != rank or symbols[j] < 0:
                     continue  # a neighbour has changed meanwhile
-                symbols[i] = found[1]
+                symbols[i] = new
                 symbols[j] = -2
                 after[i] = k = after[j]
                 before[k] = i
-                for at, other in ((before[i], i), (i, k)):
-                    if at >= 0 and (new := merges.get((symbols[at], symbols[other]))):
-                        if new[0] not in places:
-                            places[new[0]] = []
-                            heapq.heappush(active, new[0])
-                        places[new[0]].append(at)
-        out = []
-        for i in starts:
-            ids = []
-            while symbols[i] != -1:
-                ids.append(symbols[i])
-                i = after[i]
-            out.append(ids)
-        return out
+                h = before[i]
+                if h >= 0 and (other := symbols[h]) >= 0:
+                    next_rank = merges(other * _BASE + new)
+                    if next_rank is not None:
+                        if next_rank in places:
+                            places[next_rank].append(h)
+                        else:
+                            places[next_rank] = [h]
+                            heapq.heappush(active, next_rank)
+                if (other := symbols[k]) >= 0:
+                    next_rank = merges(new * _BASE + other)
+                    if next_rank is not None:
+                        if next_rank in places:
+                            places[next_rank].append(i)
+                        else:
+                            places[next_rank] = [i]
+                            heapq.heappush(active, next_rank)
+        merged = np.array(symbols, np.int64)
+        alive = merged >= 0
+        packed = merged[alive].astype("<u4").tobytes()
+        stops = (np.cumsum(alive)[border - 1] * 4).tolist() if len(coded) else []
+        return [packed[low:high] for low, high in zip([0, *stops], stops, strict=False)]
 
     def learn(self, chunks: set[str]) -> None:
         """Enter the chunks that are new into the cache."""
-        new = chunks - self.known.keys()
+        new = chunks.difference(self.known)
+        if not new:
+            return
         if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.known.clear()
-            new = chunks
-        words = {chunk: self.cut_words(chunk) for chunk in sorted(new)}
-        distinct = sorted({word for found in words.values() for word in found})
-        packed = {
-            word: b"".join(i.to_bytes(4, "little") for i in ids)
-            for word, ids in zip(distinct, self.merge_all(distinct), strict=True)
-        }
+            # Chunks of this batch stay, and the words of those that go.
+            self.known = {c: self.known[c] for c in chunks.intersection(self.known)}
+        words = {chunk: self.cut_words(chunk) for chunk in new}
+        distinct = {word for found in words.values() for word in found}
+        if len(self.known_words) + len(distinct) > CACHED_CHUNKS:
+            self.known_words = {w: self.known_words[w] for w in distinct.intersection(self.known_words)}
+        fresh = sorted(distinct.difference(self.known_words))
+        known = self.known_words
+        known.update(zip(fresh, self.merge_all(fresh), strict=True))
         self.known.update(
-            (chunk, b"".join(packed[word] for word in found)) for chunk, found in words.items()
+            (chunk, known[found[0]] if len(found) == 1 else b"".join([known[w] for w in found]))
+            for chunk, found in words.items()
         )
 
     def cut_words(self, normal: str) -> list[str]:
