@@ -35,7 +35,7 @@ _LONG = (1 << 63) - 1
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.float64).reshape(-1, width)
+    return np.frombuffer(b"".join(column), np.float64).reshape(len(column), width)
 
 
 def _exact_products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -45,7 +45,7 @@ def _exact_products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
     if top * width < _EXACT:
         return queries @ rows.T
     as_int = np.vectorize(int, otypes=[object])
-    return np.clip(as_int(queries).dot(as_int(rows).T), -_LONG - 1, _LONG)
+    return np.clip(as_int(queries).dot(as_int(rows).T), -_LONG, _LONG)
 
 
 class Search:
@@ -79,14 +79,20 @@ class Search:
             near = near[:, columns]
             found_ids = ids[part][columns]
             for i, row in enumerate(at):
-                good = np.flatnonzero(near[i])
+                good = np.flatnonzero(near[i] & (scores[i] >= self.floor[row]))
+                if len(good) > self.k:
+                    least = np.partition(scores[i][good], len(good) - self.k)[-self.k]
+                    good = good[scores[i][good] >= least]  # ties of the last one stay
                 if not len(good):
                     continue
                 rows = [(-scores[i, j], found_ids[j]) for j in good]
                 kept = sorted(self.best[row] + rows)[: self.k]
                 self.best[row] = kept
                 if len(kept) == self.k:
-                    self.floor[row] = max(self.floor[row], float(-kept[-1][0]))
+                    # Beyond exact doubles a step lower, so that no tie is lost.
+                    last = float(-kept[-1][0])
+                    last = last if abs(last) < _EXACT else np.nextafter(last, -np.inf)
+                    self.floor[row] = max(self.floor[row], last)
 
     def rows(self) -> pd.DataFrame:
         return pd.DataFrame(
@@ -165,7 +171,7 @@ def _search(base: DataFrame, width: int, count: int, is_query, k: int, folder: s
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((width, width))
         for batch in batches:
-            rows = np.array(batch["v"].tolist(), np.float64).reshape(-1, width) / safe
+            rows = np.array(batch["v"].tolist(), np.float64).reshape(len(batch), width) / safe
             total += rows.T @ rows
         yield pd.DataFrame({"m": [total.tobytes()]})
 
@@ -237,8 +243,15 @@ def _search(base: DataFrame, width: int, count: int, is_query, k: int, folder: s
     )
     floors = (
         first.groupBy("query_id")
-        .agg(F.count("*").alias("n"), F.min("score").cast("double").alias("floor"))
+        .agg(F.count("*").alias("n"), F.min("score").alias("floor"))
         .where(F.col("n") >= k)
+        # The next double below, where doubles no longer hold every whole number.
+        .withColumn(
+            "floor",
+            F.when(F.abs("floor") < _EXACT, F.col("floor").cast("double")).otherwise(
+                F.col("floor").cast("double") - F.abs(F.col("floor").cast("double")) * 1e-15
+            ),
+        )
         .select(F.col("query_id").alias("vec_id"), "floor")
     )
 

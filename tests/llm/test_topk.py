@@ -52,5 +52,8 @@ def test_few_rows_and_odd_vectors(spark):
     assert found(spark, [(0, [1.0], 1)]) == []
     rows = [(0, [1.0, -0.01], 1), (1, [0.5, 0.5], 1), (20, [2.0], 1), (21, [3.0], 1), (40, [], 1), (41, [], 1)]
     assert found(spark, rows) == expected(rows)
-    rows = [(0, [1e9, 1.0], 0), (1, [3e8, 2.0], 0), (2, [-1e9, 5.0], 0)]
+    # Products beyond what doubles hold exactly, and beyond a long.
+    rows = [(0, [2e7, 1.0], 0), (1, [2e7, 2.0], 0), (2, [2e7, 1.5], 0), (3, [-2e7, 5.0], 0)]
     assert found(spark, rows) == expected(rows)
+    rows = [(0, [1e12], 0), (1, [1e12], 0), (2, [-1e12], 0)]
+    assert [r[3] for r in found(spark, rows)] == [2**63 - 1, -(2**63 - 1)]
