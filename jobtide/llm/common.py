@@ -68,8 +68,3 @@ def let(value: Column, body) -> Column:
     An expression named in a lambda would be worked out again for every element.
     """
     return F.transform(F.array(value), body)[0]
-
-
-def input_bytes(df: DataFrame) -> int:
-    """What Spark expects the rows of ``df`` to take: the size of its files for a scan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

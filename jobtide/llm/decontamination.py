@@ -140,6 +140,23 @@ def _covered(spans: Column) -> Column:
     )
 
 
+def _short_runs(docs: DataFrame, length: int) -> DataFrame:
+    """Every run of ``length`` words of the documents."""
+    runs = docs.select(
+        "doc_id",
+        "text_hash",
+        F.posexplode(let(words(lower_ascii(F.col("text"))), _segments)).alias("seg", "run"),
+    )
+    found = F.transform(
+        steps(F.least(F.size("run") - (length - 1), F.lit(SEGMENT))),
+        lambda i: F.struct(
+            (F.col("seg").cast("bigint") * SEGMENT + i - 1).alias("start"),
+            _span(F.col("run"), i, length).alias("span"),
+        ),
+    )
+    return runs.select("doc_id", "text_hash", F.lit(length).alias("length"), F.explode(found).alias("w"))
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document: how many of its words lie in spans of benchmark items.
 
@@ -236,27 +253,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = windows.where("fp is null").select("length").distinct().collect()
     for length in sorted(row["length"] for row in lengths):
         # Items shorter than a span: every run of their length is looked up.
-        runs = docs.select(
-            "doc_id",
-            "text_hash",
-            F.posexplode(let(words(lower_ascii(F.col("text"))), _segments)).alias("seg", "run"),
-        )
-        spans = spans.unionByName(
-            runs.select(
-                "doc_id",
-                "text_hash",
-                F.lit(length).alias("length"),
-                F.explode(
-                    F.transform(
-                        steps(F.least(F.size("run") - (length - 1), F.lit(SEGMENT))),
-                        lambda i, n=length: F.struct(
-                            (F.col("seg").cast("bigint") * SEGMENT + i - 1).alias("start"),
-                            _span(F.col("run"), i, n).alias("span"),
-                        ),
-                    )
-                ).alias("w"),
-            )
-        )
+        spans = spans.unionByName(_short_runs(docs, length))
     spans = spans.select("doc_id", "text_hash", "length", "w.start", "w.span")
     known = windows.select("length", "span").distinct()
     hits = settle(spans.join(known, ["length", "span"]), folder, "hits")

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import input_bytes, settle, unused, workspace
+from jobtide.llm.common import settle, unused, workspace
 from jobtide.llm.components import components
 
 WORDS = 4
@@ -38,7 +38,7 @@ CHUNK_DOCS = 50_000
 MANY = 0xFFFF  # in place of a document: the token stands in several of the chunk
 BLOCK_NODES = 512
 BLOCK_TOKENS = 1 << 20
-RANGE_BYTES = 1 << 21
+RANGE_TOKENS = 1 << 19
 _COLUMNS = 4096
 _MASK = (1 << 64) - 1
 _KEPT_WORDS = 400_000
@@ -143,10 +143,10 @@ def _chunk_rows(chunk: int, sets: dict[int, np.ndarray], bits: int) -> Iterator[
             "sizes": sizes.tobytes(),
         }
     ]
-    owner = (distinct >> np.uint64(64 - bits)).astype(np.int64)
-    cuts = np.searchsorted(owner, np.arange((1 << bits) + 1))
-    for number in np.unique(owner):
-        part = slice(cuts[number], cuts[number + 1])
+    owners, starts = np.unique(distinct >> np.uint64(64 - bits), return_index=True)
+    ends = np.r_[starts[1:], len(distinct)]
+    for number, start, end in zip(owners, starts, ends, strict=True):
+        part = slice(start, end)
         rows.append(
             {
                 "range": int(number),
@@ -163,13 +163,13 @@ def _chunk_rows(chunk: int, sets: dict[int, np.ndarray], bits: int) -> Iterator[
         yield pa.RecordBatch.from_pylist(rows[start : start + 256], schema=_SENT)
 
 
-def _shared_sets(documents: DataFrame, words: int, num: int, den: int) -> DataFrame:
+def _shared_sets(documents: DataFrame, total: int, words: int, num: int, den: int) -> DataFrame:
     """``node, n, take, tokens, spread``: the sets that may have a partner.
 
     ``tokens`` are those that other sets hold too, ``spread`` in how many places, ``take`` the
-    number of them in a prefix.
+    number of them in a prefix.  ``total`` is the number of tokens of all documents.
     """
-    bits = max(8, (input_bytes(documents) // RANGE_BYTES).bit_length())
+    bits = max(8, (total // RANGE_TOKENS).bit_length())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The same on every attempt, as partitions and their rows are.
@@ -364,13 +364,20 @@ def similar_documents(
         folder,
         "named",
     )
-    sets = settle(_shared_sets(documents, words, num, den), folder, "sets")
+    total = named.agg(F.sum("n_shingles")).first()[0] or 0
+    sets = settle(_shared_sets(documents, total, words, num, den), folder, "sets")
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples():
-                prefix = _prefix(row.tokens, row.spread, row.take, 0)
-                yield pd.DataFrame({"token": prefix.view(np.int64), "node": row.node})
+            prefixes = [
+                _prefix(tokens, spread, take, 0)
+                for tokens, spread, take in zip(
+                    batch["tokens"], batch["spread"], batch["take"], strict=True
+                )
+            ]
+            if prefixes:
+                nodes = np.repeat(batch["node"].to_numpy(), [len(p) for p in prefixes])
+                yield pd.DataFrame({"token": np.concatenate(prefixes).view(np.int64), "node": nodes})
 
     postings = settle(sets.mapInPandas(post, "token bigint, node bigint"), folder, "postings")
     buckets = settle(

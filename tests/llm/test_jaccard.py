@@ -33,15 +33,14 @@ def expected(rows):
     for i, (doc, _) in enumerate(rows):
         if doc is not None:
             ids[root(i)].append(doc)
-    return sorted(
-        (str(doc), len(sets[i]), min(ids[root(i)], default=None)) for i, (doc, _) in enumerate(rows)
-    )
+    out = [(doc, len(sets[i]), min(ids[root(i)], default=None)) for i, (doc, _) in enumerate(rows)]
+    return sorted(out, key=str)
 
 
 def found(spark, rows):
     df = spark.createDataFrame([(i, t, "clash") for i, t in rows], SCHEMA)
     result = jaccard.similar_documents(df).collect()
-    return sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in result)
+    return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in result), key=str)
 
 
 def edited(words, number, draw):

@@ -1,5 +1,4 @@
 import random
-import struct
 
 import pytest
 
@@ -12,11 +11,10 @@ def counter():
 
 
 def brute_force(data, text):
-    """The whole text at once, by a dictionary of pieces and no automaton, chunks or memory."""
+    """The whole text at once, forward, by a dictionary and no automaton, chunks or memory."""
     pieces, fallback, prefix = viterbi.read_model(data)
-    single = lambda x: struct.unpack("<f", struct.pack("<f", x))[0]
     normal = {t: s for t, s, kind in pieces if kind == 1}
-    unknown = single(min(normal.values()) - 10.0)
+    unknown = min(normal.values()) - 10.0
     longest = max(map(len, normal))
     if not text:
         return 0
@@ -32,14 +30,14 @@ def brute_force(data, text):
             steps.append((start + 1, unknown, size))
         for end, score, size in steps:
             if best[end] is None or score + best[start] > best[end]:
-                best[end], count[end] = single(score + best[start]), count[start] + size
+                best[end], count[end] = score + best[start], count[start] + size
     return count[-1]
 
 
 def test_against_whole_text(counter, spark, sf_dir):
     data = viterbi.read(viterbi.default_model())
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
-    for text in [r.text for r in docs][:40]:
+    for text in [r.text for r in docs if len(r.text) < 4000][:20]:
         assert counter.count(text) == brute_force(data, text)
 
 
