@@ -122,6 +122,13 @@ def stg_jobs(r: Relations) -> DataFrame:
     return r.stg
 
 
+@query(O.over(("stg",), "SELECT * FROM stg"))
+def stg_jobs_from_text(r: Relations) -> DataFrame:
+    """The same rows from a raw table that holds numbers, moments and dates as text."""
+    texts = ("salary_min_usd", "salary_max_usd", "fetched_at", "snapshot_date")
+    return staging.stg_jobs(r.raw.withColumns({c: F.col(c).cast("string") for c in texts}))
+
+
 @query(O.over(("latest",), "SELECT * FROM latest"))
 def jobs_latest(r: Relations) -> DataFrame:
     return r.latest
@@ -622,12 +629,16 @@ def dedupe_first_wins(r: Relations) -> DataFrame:
 
 
 _STORED = ", ".join(
-    {
-        "fetched_at": "CAST(fetched_at AS TIMESTAMPTZ) AS fetched_at",
-        "snapshot_date": "CAST(snapshot_date AS VARCHAR) AS snapshot_date",
-    }.get(name, name)
+    "CAST(snapshot_date AS VARCHAR) AS snapshot_date" if name == "snapshot_date" else name
     for name in RAW.names
 )
+
+
+def _unzoned(stored: DataFrame) -> DataFrame:
+    """Stored rows with their moments as wall-clock time, which both engines print alike."""
+    return stored.withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz"))
+
+
 _RERUN = """source IN ('remoteok', 'jobicy') AND snapshot_date =
   (SELECT max(snapshot_date) FROM raw)"""
 
@@ -655,7 +666,7 @@ def snapshot_upsert(r: Relations) -> DataFrame:
         & (F.col("external_id").cast("bigint") % 3 != 0)
     ).withColumn("title", F.concat("title", F.lit(" (updated)")))
     upsert_snapshot(rerun, path)
-    return read_raw(r.spark, path)
+    return _unzoned(read_raw(r.spark, path))
 
 
 @query(
@@ -674,4 +685,4 @@ def snapshot_archive(r: Relations) -> DataFrame:
     archive_snapshot(
         batch.where((F.col("snapshot_date") == last) & (F.col("source") == "arbeitnow")), path
     )
-    return read_raw(r.spark, path)
+    return _unzoned(read_raw(r.spark, path))

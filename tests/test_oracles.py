@@ -46,4 +46,4 @@ def test_query(spark, duck, sf_dir, name):
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 9
+    assert entry.entry(spark).count() == 30
