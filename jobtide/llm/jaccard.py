@@ -334,7 +334,7 @@ def links(group: pd.DataFrame, num: int, den: int) -> list[tuple[int, int]]:
 def similar_documents(
     documents: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN
 ) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id``.
+    """One row per document: ``doc_id, n_shingles, component_id, text_hash``.
 
     ``documents`` needs ``doc_id`` and ``text``; other columns are not read.  The component is
     the smallest id reachable over links.  A null, empty or blank text has no shingles and is
@@ -348,19 +348,22 @@ def similar_documents(
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(text.as_py(), words) for text in batch.column(1)]
+            sets = [shingles(text.as_py(), words) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "node"],
+                ["doc_id", "text_hash", "n_shingles", "node"],
             )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     named = settle(
-        documents.mapInArrow(name, f"doc_id {kind}, n_shingles bigint, node bigint"),
+        documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+            name, f"doc_id {kind}, text_hash bigint, n_shingles bigint, node bigint"
+        ),
         folder,
         "named",
     )
@@ -440,7 +443,7 @@ def similar_documents(
     labels = settle(components(edges, f"{folder}/l"), folder, "labels")
     joined = settle(
         named.join(labels, "node", "left").select(
-            "doc_id", "n_shingles", F.coalesce("label", "node").alias("label")
+            "doc_id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("label")
         ),
         folder,
         "joined",
@@ -455,25 +458,48 @@ def similar_documents(
         "lowest",
     )
     return joined.join(lowest, "label", "left").select(
-        "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("low", "doc_id").alias("component_id"), "text_hash"
     )
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
     """``documents`` with one row of each group of similar ones: that with the smallest id.
 
-    All columns stay.  Documents without words are no copies of each other and all stay.
+    All columns stay.  Documents without words are no copies of each other and all stay.  Where
+    similar texts share the smallest id, each distinct one of them stays once; groups of which no
+    row has an id stay whole but for repeated texts.
     """
-    found = similar_documents(documents).where("n_shingles > 0")
-    low, id_name = unused(documents, "component_low", "other_id")
+    found = settle(
+        similar_documents(documents).where("n_shingles > 0"),
+        workspace(documents.sparkSession),
+        "similar",
+    )
+    id_name, hash_name, own = unused(documents, "other_id", "other_hash", "text_hash")
+    # An id and its text: the same id may stand for other texts, too.
     extra = (
         found.where("component_id is not null and (doc_id is null or doc_id <> component_id)")
-        .select(F.col("doc_id").alias(id_name))
+        .select(F.col("doc_id").alias(id_name), F.col("text_hash").alias(hash_name))
         .distinct()
     )
-    kept = documents.join(extra, F.col("doc_id").eqNullSafe(F.col(id_name)), "left_anti")
-    # Rows that repeat an id in full are copies as well.
-    (text,) = unused(documents, "text_hash")
-    has_words = F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    kept = kept.withColumn(text, F.when(has_words, F.xxhash64("text")).otherwise(F.monotonically_increasing_id()))
-    return kept.dropDuplicates(["doc_id", text]).select(*documents.columns)
+    same_id = F.col("doc_id").eqNullSafe(F.col(id_name))
+    same = same_id & (F.col(own) == F.col(hash_name))
+    hashed = documents.withColumn(own, F.xxhash64("text"))
+    kept = hashed.join(extra, same, "left_anti")
+    # Rows that repeat an id and its set are copies as well; the texts of others are not moved.
+    repeated = settle(
+        found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
+            F.col("doc_id").alias(id_name)
+        ),
+        workspace(documents.sparkSession),
+        "repeated",
+    )
+    if repeated.isEmpty():
+        return kept.select(*documents.columns)
+    again = kept.join(repeated, same_id, "left_semi")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return (
+        kept.join(repeated, same_id, "left_anti")
+        .unionByName(again.where(~has_words))
+        .unionByName(again.where(has_words).dropDuplicates(["doc_id", own]))
+        .select(*documents.columns)
+    )

@@ -179,7 +179,7 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
 FROM d LEFT JOIN size USING (doc_id) LEFT JOIN low ON low.x = d.doc_id"""
 )
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+    return jaccard.similar_documents(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query()
