@@ -1,18 +1,16 @@
 """Token counts of a unigram vocabulary: Aho-Corasick matches and a count-only Viterbi pass.
 
 An automaton over the vocabulary lists the pieces that end at each character; dynamic programming
-carries the best score and its number of pieces, never the path.  Scores are single precision
-and a later piece replaces an earlier one only if its sum is larger, before rounding, than the
-rounded sum that stands there: the tie rules of the public unigram encoder, which gives the same
-counts.
-
-Pieces never reach over some borders (before a blank, around a line end), so a text is a chain of
-chunks.  A chunk's outcome depends on the score before it only through rounding: sums in the same
-binade with the same last bit round alike.  So outcomes are kept by chunk, binade and last bit,
-and a chunk whose sums leave the binade is worked out at its place.
+carries the best score and its number of pieces, never the path.  The tie rule is that of the
+public unigram encoder: of the pieces that end at a place the one that starts first stands, and a
+later one replaces it only if its score is larger; a character that is no piece is unknown, at the
+lowest score less a fixed penalty, and counts as its bytes if the model falls back to bytes.
+Scores are added in double precision.
+
+Pieces never reach over some borders (before a blank, around a line end), so the best path over a
+text is made of those over its chunks, and each distinct chunk is worked out once.
 """
 
-import math
 import re
 import struct
 from collections.abc import Iterator
@@ -24,14 +22,10 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the public encoder
 SLICE_BYTES = 1 << 21
-CACHED_CHUNKS = 200_000  # outcomes; the cache starts anew beyond
+CACHED_CHUNKS = 300_000  # the cache starts anew beyond
 
 _NORMAL, _UNKNOWN, _USER, _UNUSED = 1, 2, 4, 5
-_pack, _unpack = struct.Struct("<f").pack, struct.Struct("<f").unpack
-
-
-def _single(value: float) -> float:
-    return _unpack(_pack(value))[0]
+_single = struct.Struct("<f").unpack
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -66,7 +60,7 @@ def read_model(data: bytes) -> tuple[list[tuple[str, float, int]], bool, bool]:
     for number, value in _fields(data):
         if number == 1:
             piece = dict(_fields(value))
-            score = _unpack(piece[2])[0] if 2 in piece else 0.0
+            score = _single(piece[2])[0] if 2 in piece else 0.0
             pieces.append((piece.get(1, b"").decode(), score, piece.get(3, _NORMAL)))
         elif number == 2:
             fallback = bool(dict(_fields(value)).get(35, 0))
@@ -85,7 +79,7 @@ class Counter:
         pieces, self.fallback, self.prefix = read_model(data)
         normal = [score for _, score, kind in pieces if kind == _NORMAL]
         lowest, highest = min(normal, default=0.0), max(normal, default=0.0)
-        self.unknown = _single(lowest - UNKNOWN_PENALTY)
+        self.unknown = lowest - UNKNOWN_PENALTY
         self.automaton = ahocorasick.Automaton()
         texts = []
         for text, score, kind in pieces:
@@ -102,67 +96,49 @@ class Counter:
             self.cut = lambda text: [text]
         else:
             self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+").findall
-        self.known: dict[tuple, tuple[float, int, float]] = {}
-
-    def walk(self, chunk: str, before: float) -> tuple[float, int, float, bool]:
-        """Score after ``chunk``, its pieces, the lowest sum, and whether the last is unknown."""
-        ends: list[list[tuple[int, float]]] = [[] for _ in chunk]
-        for end, found in self.automaton.iter(chunk):
-            ends[end].append(found)  # the longest first, so by ascending start
-        best, counts = [before], [0]
-        lowest = before
-        for end, found in enumerate(ends):
+        self.known: dict[str, int] = {}
+
+    def walk(self, chunk: str) -> int:
+        """Pieces on the best path over a chunk."""
+        best, counts = [0.0], [0]
+        ends = iter([*self.automaton.iter(chunk), (len(chunk), None)])
+        end, found = next(ends)
+        for at, character in enumerate(chunk):
             score = None
             single = False
-            for length, value in found:
-                start = end + 1 - length
+            while end == at:  # the longest piece first, so by ascending start
+                length, value = found
+                start = at + 1 - length
                 candidate = value + best[start]
                 if score is None or candidate > score:
-                    score, count = _single(candidate), counts[start] + 1
-                    lowest = min(lowest, score)
-                single |= length == 1
+                    score, count = candidate, counts[start] + 1
+                single = length == 1
+                end, found = next(ends)
             if not single:
-                candidate = self.unknown + best[end]
+                candidate = self.unknown + best[at]
                 if score is None or candidate > score:
-                    score = _single(candidate)
-                    lowest = min(lowest, score)
-                    count = counts[end] + (len(chunk[end].encode()) if self.fallback else 1)
+                    score = candidate
+                    count = counts[at] + (len(character.encode()) if self.fallback else 1)
             best.append(score)
             counts.append(count)
-        return best[-1], counts[-1], lowest
+        return counts[-1]
 
     def count(self, text: str) -> int:
         if not text:
             return 0
-        text = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        known, walk = self.known, self.walk
+        chunks = self.cut((SPACE if self.prefix else "") + text.replace(" ", SPACE))
+        known = self.known
+        try:
+            return sum(map(known.__getitem__, chunks))
+        except KeyError:
+            pass
         if len(known) > CACHED_CHUNKS:
             known.clear()
-        total, score = 0, 0.0
-        floor, unit, key = 0.0, 0.0, 0
-        for chunk in self.cut(text):
-            if not floor < score <= floor / 2 or floor == 0.0:
-                if score < 0:
-                    exponent = math.frexp(score)[1]  # 2^(exponent-1) <= -score < 2^exponent
-                    floor, unit = -math.ldexp(1.0, exponent), math.ldexp(1.0, exponent - 24)
-                    key = exponent * 2
-                else:
-                    floor, unit, key = 0.0, 1.0, -1_000_000
-            place = (chunk, key + (int(score / unit) & 1) if floor else score)
-            found = known.get(place)
-            if found is None:
-                after, pieces, lowest = walk(chunk, score)
-                # Where a sum leaves the binade, it holds for this very score only.
-                if floor and lowest > floor:
-                    known[place] = (after - score, pieces, lowest - score)
-                score = after
-                total += pieces
-                continue
-            change, pieces, drop = found
-            if score + drop > floor:
-                score += change
-            else:
-                score, pieces, _ = walk(chunk, score)
+        total = 0
+        for chunk in chunks:
+            pieces = known.get(chunk)
+            if pieces is None:
+                pieces = known[chunk] = self.walk(chunk)
             total += pieces
         return total
 
