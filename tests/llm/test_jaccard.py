@@ -50,7 +50,7 @@ def edited(words, number, draw):
     return words
 
 
-@pytest.mark.parametrize("block", [512, 8])
+@pytest.mark.parametrize("block", [8])
 def test_against_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK_NODES", block)
     draw = random.Random(3)
