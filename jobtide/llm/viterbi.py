@@ -1,16 +1,22 @@
 """Token counts of a unigram vocabulary: Aho-Corasick matches and a count-only Viterbi pass.
 
 An automaton over the vocabulary lists the pieces that end at each character; dynamic programming
-carries the best score and its number of pieces, never the path.  The tie rule is that of the
+carries the best score and its number of pieces, never the path.  The tie rules are those of the
 public unigram encoder: of the pieces that end at a place the one that starts first stands, and a
-later one replaces it only if its score is larger; a character that is no piece is unknown, at the
-lowest score less a fixed penalty, and counts as its bytes if the model falls back to bytes.
-Scores are added in double precision.
+later one replaces it only if its sum, before rounding, is larger than the sum that stands there,
+which is rounded to single precision.  A character that is no piece is unknown, at the lowest score
+less a fixed penalty, and counts as its bytes if the model falls back to bytes.
 
-Pieces never reach over some borders (before a blank, around a line end), so the best path over a
-text is made of those over its chunks, and each distinct chunk is worked out once.
+Pieces never reach over some borders (before a blank, around a line end), so a text is a chain of
+chunks.  The score before a chunk changes its outcome only through rounding, and a sum that falls
+out of the zone (binade) of the score stays below those within.  Near zero nothing is rounded: sums
+of multiples of a power of two are exact down to -2^24 times it, and a chunk has one outcome.
+Beyond, a best path that leads by more than rounding can move sums stands, and only the sums along
+it are rounded anew; elsewhere outcomes are kept by chunk, binade and last bit, as sums that agree
+in them round alike.  A chunk whose best sum leaves its zone is worked out at its place.
 """
 
+import math
 import re
 import struct
 from collections.abc import Iterator
@@ -22,10 +28,15 @@ from pyspark.sql import DataFrame
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the public encoder
 SLICE_BYTES = 1 << 21
-CACHED_CHUNKS = 300_000  # the cache starts anew beyond
+CACHED_CHUNKS = 300_000  # outcomes; the cache starts anew beyond
+LEAD_LENGTH = 64  # longer chunks hardly recur
 
 _NORMAL, _UNKNOWN, _USER, _UNUSED = 1, 2, 4, 5
-_single = struct.Struct("<f").unpack
+_pack, _unpack = struct.Struct("<f").pack, struct.Struct("<f").unpack
+
+
+def _single(value: float) -> float:
+    return _unpack(_pack(value))[0]
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -60,7 +71,7 @@ def read_model(data: bytes) -> tuple[list[tuple[str, float, int]], bool, bool]:
     for number, value in _fields(data):
         if number == 1:
             piece = dict(_fields(value))
-            score = _single(piece[2])[0] if 2 in piece else 0.0
+            score = _unpack(piece[2])[0] if 2 in piece else 0.0
             pieces.append((piece.get(1, b"").decode(), score, piece.get(3, _NORMAL)))
         elif number == 2:
             fallback = bool(dict(_fields(value)).get(35, 0))
@@ -72,6 +83,12 @@ def read_model(data: bytes) -> tuple[list[tuple[str, float, int]], bool, bool]:
     return pieces, fallback, prefix
 
 
+def _quantum(value: float) -> float:
+    """The largest power of two that ``value`` is a multiple of."""
+    above, below = value.as_integer_ratio()
+    return (above & -above) / below if above else math.inf
+
+
 class Counter:
     """Piece counts by a model file's content."""
 
@@ -79,14 +96,15 @@ class Counter:
         pieces, self.fallback, self.prefix = read_model(data)
         normal = [score for _, score, kind in pieces if kind == _NORMAL]
         lowest, highest = min(normal, default=0.0), max(normal, default=0.0)
-        self.unknown = lowest - UNKNOWN_PENALTY
+        self.unknown = _single(lowest - UNKNOWN_PENALTY)
         self.automaton = ahocorasick.Automaton()
-        texts = []
+        texts, scores = [], [self.unknown]
         for text, score, kind in pieces:
             if kind in (_NORMAL, _USER):
                 texts.append(text)
                 if kind == _USER:
                     score = len(text.encode()) * highest - 0.1
+                scores.append(score)
                 self.automaton.add_word(text, (len(text), score))
         self.automaton.make_automaton()
         # Chunks end where no piece reaches over.
@@ -96,50 +114,192 @@ class Counter:
             self.cut = lambda text: [text]
         else:
             self.cut = re.compile(f"{SPACE}+[^{SPACE}\n]*|\n|[^{SPACE}\n]+").findall
-        self.known: dict[str, int] = {}
+        # Sums never rise above the score before a chunk unless a piece's score is positive.
+        self.falling = max(scores) <= 0.0
+        self.exact = -math.ldexp(min(map(_quantum, scores)), 24)
+        # Score and pieces by chunk in the exact zone, and what ``leading`` gives.
+        self.changes: dict[str, float] = {}
+        self.pieces: dict[str, int] = {}
+        self.leads: dict[str, tuple[tuple, int, float]] = {}
+        # By binade: score and pieces by chunk for an even and an odd last bit.
+        self.zones: dict[int, tuple[dict, dict]] = {}
+        self.kept = 0
+
+    def leading(self, chunk: str) -> tuple[tuple, int, float]:
+        """Without rounding: scores along the best path, its pieces, and the unit it stands up to."""
+        best, leads, steps = [0.0], [math.inf], [None]
+        ends = iter([*self.automaton.iter(chunk), (len(chunk), None)])
+        end, found = next(ends)
+        unknown = self.unknown
+        for at in range(len(chunk)):
+            score = second = -math.inf
+            step = None
+            length = 0
+            while end == at:
+                length, value = found
+                start = at + 1 - length
+                candidate = value + best[start]
+                if candidate > score:
+                    score, second, step = candidate, score, (start, value)
+                elif candidate > second:
+                    second = candidate
+                end, found = next(ends)
+            if length != 1:
+                candidate = unknown + best[at]
+                if candidate > score:
+                    score, second, step = candidate, score, (at, None)
+                elif candidate > second:
+                    second = candidate
+            best.append(score)
+            steps.append(step)
+            leads.append(min(leads[step[0]], score - second))
+        path, pieces, at = [], 0, len(chunk)
+        while at:
+            start, value = steps[at]
+            if value is None:
+                value = unknown
+                pieces += len(chunk[start].encode()) if self.fallback else 1
+            else:
+                pieces += 1
+            path.append(value)
+            at = start
+        # Either of two sums is off by half a unit for each of its pieces at most; two more units
+        # are for what doubles lose.
+        return tuple(path[::-1]), pieces, leads[-1] / (len(chunk) + 2)
 
-    def walk(self, chunk: str) -> int:
-        """Pieces on the best path over a chunk."""
-        best, counts = [0.0], [0]
+    def walk(self, chunk: str, before: float) -> tuple[float, int]:
+        """Score after ``chunk`` and its pieces, with sums rounded to single precision."""
+        best, counts = [before], [0]
         ends = iter([*self.automaton.iter(chunk), (len(chunk), None)])
         end, found = next(ends)
         for at, character in enumerate(chunk):
             score = None
-            single = False
+            length = 0
             while end == at:  # the longest piece first, so by ascending start
                 length, value = found
                 start = at + 1 - length
                 candidate = value + best[start]
                 if score is None or candidate > score:
-                    score, count = candidate, counts[start] + 1
-                single = length == 1
+                    score, count = _single(candidate), counts[start] + 1
                 end, found = next(ends)
-            if not single:
+            if length != 1:
                 candidate = self.unknown + best[at]
                 if score is None or candidate > score:
-                    score = candidate
+                    score = _single(candidate)
                     count = counts[at] + (len(character.encode()) if self.fallback else 1)
             best.append(score)
             counts.append(count)
-        return counts[-1]
+        return best[-1], counts[-1]
+
+    def walk_within(self, chunk: str, before: float, unit: float) -> tuple[float, int, bool]:
+        """As ``walk`` where sums stay in the binade of ``unit``, or in the exact zone for 0.
+
+        The last value tells whether a sum stood half-way, so that the last bit decided.
+        """
+        pivot, half = unit * (3 << 51), unit / 2 or math.inf
+        unknown, tied = self.unknown, False
+        best, counts = [before], [0]
+        ends = iter([*self.automaton.iter(chunk), (len(chunk), None)])
+        end, found = next(ends)
+        for at in range(len(chunk)):
+            score = -math.inf
+            length = 0
+            while end == at:
+                length, value = found
+                start = at + 1 - length
+                candidate = value + best[start]
+                if candidate > score:
+                    score, origin = candidate + pivot - pivot, start
+                    count = 1
+                    if score - candidate == half or candidate - score == half:
+                        tied = True
+                end, found = next(ends)
+            if length != 1:
+                candidate = unknown + best[at]
+                if candidate > score:
+                    score, origin = candidate + pivot - pivot, at
+                    count = len(chunk[at].encode()) if self.fallback else 1
+                    if score - candidate == half or candidate - score == half:
+                        tied = True
+            best.append(score)
+            counts.append(counts[origin] + count)
+        return best[-1], counts[-1], tied
+
+    def _room(self) -> None:
+        """Counts one more outcome, and forgets all where there are too many."""
+        if self.kept >= CACHED_CHUNKS:
+            for even, odd in self.zones.values():
+                even.clear()
+                odd.clear()
+            for kept in (self.changes, self.pieces, self.leads):
+                kept.clear()
+            self.kept = 0
+        self.kept += 1
 
     def count(self, text: str) -> int:
         if not text:
             return 0
         chunks = self.cut((SPACE if self.prefix else "") + text.replace(" ", SPACE))
-        known = self.known
-        try:
-            return sum(map(known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(known) > CACHED_CHUNKS:
-            known.clear()
+        score, total, first = 0.0, 0, 0
+        if self.falling:
+            changes, pieces = self.changes, self.pieces
+            try:
+                if sum(map(changes.__getitem__, chunks)) > self.exact:
+                    return sum(map(pieces.__getitem__, chunks))
+            except KeyError:
+                pass
+            for first, chunk in enumerate(chunks):  # noqa: B007
+                change = changes.get(chunk)
+                if change is None:
+                    change, number, _ = self.walk_within(chunk, 0.0, 0.0)
+                    self._room()
+                    changes[chunk], pieces[chunk] = change, number
+                if score + change <= self.exact:
+                    break
+                score += change
+                total += pieces[chunk]
+            else:
+                return total
+        return total + self._rounded(chunks[first:], score)
+
+    def _rounded(self, chunks: list[str], score: float) -> int:
+        """Pieces of the chunks that come after ``score``."""
         total = 0
+        leads = self.leads
+        floor = unit = pivot = 0.0  # no zone yet
         for chunk in chunks:
-            pieces = known.get(chunk)
-            if pieces is None:
-                pieces = known[chunk] = self.walk(chunk)
-            total += pieces
+            if floor:
+                found = leads.get(chunk)
+                if found is None and len(chunk) <= LEAD_LENGTH:
+                    found = self.leading(chunk)
+                    self._room()
+                    leads[chunk] = found
+                if found is not None and unit < found[2]:
+                    after, number = score, found[1]
+                    for value in found[0]:
+                        after = after + value + pivot - pivot
+                else:
+                    table = tables[int(score / unit) & 1]
+                    found = table.get(chunk)
+                    if found is None:
+                        after, number, tied = self.walk_within(chunk, score, unit)
+                        if after > floor:
+                            self._room()
+                            for kept in (table,) if tied else tables:
+                                kept[chunk] = after - score, number
+                    else:
+                        after, number = score + found[0], found[1]
+                if after > floor:
+                    score = after
+                    total += number
+                    continue
+            score, number = self.walk(chunk, score)
+            total += number
+            if self.falling and score <= self.exact:
+                exponent = math.frexp(score)[1]  # 2^(exponent-1) <= -score < 2^exponent
+                floor, unit = -math.ldexp(1.0, exponent), math.ldexp(1.0, exponent - 24)
+                pivot = unit * (3 << 51)
+                tables = self.zones.setdefault(exponent, ({}, {}))
         return total
 
 
