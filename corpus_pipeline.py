@@ -13,8 +13,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def join_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near copies."""
-    return jaccard.one_of_each(docs)
+    """One document, that with the smallest id, of each group of near copies.
+
+    Near copies share 0.8 of their five-word shingles.
+    """
+    return jaccard.one_of_each(docs, 5, 80, 100)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -462,7 +462,9 @@ def similar_documents(
     )
 
 
-def one_of_each(documents: DataFrame) -> DataFrame:
+def one_of_each(
+    documents: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN
+) -> DataFrame:
     """``documents`` with one row of each group of similar ones: that with the smallest id.
 
     All columns stay.  Documents without words are no copies of each other and all stay.  Where
@@ -470,7 +472,7 @@ def one_of_each(documents: DataFrame) -> DataFrame:
     row has an id stay whole but for repeated texts.
     """
     found = settle(
-        similar_documents(documents).where("n_shingles > 0"),
+        similar_documents(documents, words, num, den).where("n_shingles > 0"),
         workspace(documents.sparkSession),
         "similar",
     )

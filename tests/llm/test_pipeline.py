@@ -62,3 +62,12 @@ def test_stages_one_by_one(spark, sf_dir):
     assert whole == {doc: r.ids_sha256 for doc, r in final.items()}
 
 
+
+
+def test_near_copies_below_the_contract_of_op7(spark, sf_dir):
+    """0.8 of five-word shingles: a passage appended to a copy takes it below 0.85."""
+    base = [f"w{i}" for i in range(104)]  # 100 shingles of five words
+    texts = {1: base, 2: base + [f"x{i}" for i in range(22)], 3: base + [f"y{i}" for i in range(26)]}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    kept = corpus_pipeline.join_duplicates(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]  # 100/122 and 100/126
