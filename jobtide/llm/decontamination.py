@@ -75,16 +75,12 @@ def _span(run: Column, start: Column, length: int) -> Column:
     return F.concat_ws(" ", *[F.get(run, start + (k - 1)) for k in range(length)])
 
 
-def _both(text: Column) -> Column:
-    """Segments of the words: ``run`` as compared, ``low`` as hashed.
+def _cut(text: Column) -> Column:
+    """Segments of the words, which are hashed as they are compared.
 
-    Hashes are of words in full lower case, which Spark makes faster than that of A-Z alone.
-    Equal words stay equal, so no hit is lost, and the comparison that follows is of ``run``.
+    Full lower case would not do: that of a sigma depends on what stands around it.
     """
-    return F.arrays_zip(
-        let(words(lower_ascii(text)), _segments).alias("run"),
-        let(words(F.lower(text)), _segments).alias("low"),
-    )
+    return let(words(lower_ascii(text)), _segments)
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
@@ -92,13 +88,13 @@ def _item_windows(items: DataFrame) -> DataFrame:
     # The explode keeps the words from being split again inside the lambdas.
     run = items.select(
         F.col("item_id").cast("string").alias("item"),
-        F.posexplode(_both(F.col("text"))).alias("seg", "both"),
-    ).select("item", "seg", "both.run", "both.low")
+        F.posexplode(_cut(F.col("text"))).alias("seg", "run"),
+    )
     long = run.select(
         "item",
         F.explode(
             let(
-                _kept(F.col("low")),
+                _kept(F.col("run")),
                 lambda kept: F.transform(
                     steps(F.size("run") - (SPAN - 1)),
                     lambda i: F.struct(
@@ -145,7 +141,7 @@ def _short_runs(docs: DataFrame, length: int) -> DataFrame:
     runs = docs.select(
         "doc_id",
         "text_hash",
-        F.posexplode(let(words(lower_ascii(F.col("text"))), _segments)).alias("seg", "run"),
+        F.posexplode(_cut(F.col("text"))).alias("seg", "run"),
     )
     found = F.transform(
         steps(F.least(F.size("run") - (length - 1), F.lit(SEGMENT))),
@@ -179,10 +175,10 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         "text_hash",
         F.explode(
             let(
-                words(F.lower("text")),
+                words(lower_ascii(F.col("text"))),
                 lambda run: F.arrays_zip(
                     F.sequence(F.lit(0), F.size(_segments(run)) - 1).alias("seg"),
-                    _segments(run).alias("low"),
+                    _segments(run).alias("run"),
                     F.array_repeat(F.size(run).cast("bigint"), F.size(_segments(run))).alias("n"),
                 ),
             )
@@ -194,7 +190,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             "text_hash",
             "s.seg",
             F.col("s.n").alias("n_words"),
-            F.array_distinct(_kept(F.col("s.low"))).alias("fps"),
+            F.array_distinct(_kept(F.col("s.run"))).alias("fps"),
         ),
         folder,
         "kept",
@@ -220,14 +216,13 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         docs["doc_id"],
         docs["text_hash"],
         matched["fps"],
-        F.posexplode(_both(docs["text"])).alias("seg", "both"),
+        F.posexplode(_cut(docs["text"])).alias("seg", "run"),
     )
     near = near.select(
         "doc_id",
         "text_hash",
         "seg",
-        "both.run",
-        "both.low",
+        "run",
         F.try_element_at("fps", F.col("seg")).alias("fps"),
     ).where("fps is not null")
     spans = near.select(
@@ -236,7 +231,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.lit(SPAN).alias("length"),
         F.explode(
             let(
-                _kept(F.col("low")),
+                _kept(F.col("run")),
                 lambda kept: F.transform(
                     F.filter(
                         steps(F.size(kept)),

@@ -83,3 +83,17 @@ def test_clean_documents_keep_rows_and_columns(spark):
     kept = decontamination.clean_documents(docs, spark.createDataFrame(ITEM_ROWS, ITEMS))
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["2", "2", "None"]
+
+
+def test_sigma_beside_other_punctuation(spark):
+    """Full lower case of a sigma depends on its surroundings; the words are equal all the same."""
+    names = ["ΟΔΟΣ", "ΑΒ", "Σ", "Α", "ΛΟΓΟΣ", "ΤΗΣ", "ΝΗΣΟΣ", "ΚΑΙ", "ΜΕΣ", "ΠΟΛΙΣ"]
+    items = [(1, " ".join(names)), (2, ".".join(f"Q{w}" for w in names))]
+    texts = [".".join(names), "'".join(names), " ".join(names), " ".join(f"Q{w}" for w in names)]
+    out = decontamination.contamination(
+        spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], DOCS),
+        spark.createDataFrame(items, ITEMS),
+    ).collect()
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in out}
+    assert got == {i: expected(t, items) for i, t in enumerate(texts)}
+    assert all(r.n_hit == 10 for r in out)
