@@ -2,10 +2,12 @@
 
 Texts become TF-IDF vectors of hashed 1- to 3-grams of letters.  Document frequencies are counted
 over every labelled row that may be learnt from.  Weights are fitted by follow the regularized
-leader with elastic-net penalties, on a bounded sample of those rows (``SAMPLE_ROWS``); a fifth of
-the sample is held back to calibrate the temperature of the probabilities.
+leader with elastic-net penalties, on a bounded sample of those rows: of each language its share of
+``SAMPLE_ROWS``, but ``LANGUAGE_ROWS`` at least, or all it has.  A fifth of the sample is held back
+to calibrate the temperature of the probabilities.
 """
 
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,6 +20,7 @@ from jobtide.llm.common import settle, workspace
 
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 4000  # expected size of the sample that the weights are fitted on
+LANGUAGE_ROWS = 200  # of a language, so many are expected in the sample at least, or all
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
 UNKNOWN = "und"
@@ -36,7 +39,7 @@ class Model(NamedTuple):
 
 
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x10000)] + [True])
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 _IS_LETTER = _letters()
@@ -50,7 +53,7 @@ def counts(text: str | None) -> np.ndarray:
     for start in range(0, len(codes), _STEP):
         # Two more characters than the step, for the grams that begin in it.
         part = codes[start : start + _STEP + 2]
-        known = _IS_LETTER[np.minimum(part, 0x10000)]
+        known = _IS_LETTER[part]
         letter |= bool(known.any())
         part = np.where(known, part, np.uint32(_SPACE)).astype(np.uint64)
         gram = np.zeros(len(part), np.uint64)
@@ -129,24 +132,38 @@ def train(labelled: DataFrame, folder: str) -> Model:
     usable = labelled.where("lang is not null and text is not null")
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, rows = np.zeros(BUCKETS, np.int64), 0
+        total, rows = np.zeros(BUCKETS, np.int64), Counter()
         for batch in batches:
-            for text in batch.column(0):
+            for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 found = counts(text.as_py())
                 if found is not None:
                     total += found > 0
-                    rows += 1
+                    rows[lang] += 1
+        # Rows by bucket, and with a language that language's.
         yield pa.RecordBatch.from_arrays(
-            [pa.array([np.append(total, rows)], pa.list_(pa.int64()))], ["n"]
+            [
+                pa.array([None, *rows], pa.string()),
+                pa.array([total, *[[n] for n in rows.values()]], pa.list_(pa.int64())),
+            ],
+            ["lang", "n"],
         )
 
-    per_bucket = usable.select("text").mapInArrow(document_counts, "n array<bigint>")
-    summed = per_bucket.select(F.posexplode("n").alias("bucket", "n")).groupBy("bucket").sum("n")
-    seen = np.zeros(BUCKETS + 1, np.int64)
-    for bucket, number in settle(summed.toDF("bucket", "n"), folder, "df").collect():
-        seen[bucket] = number
-    total = int(seen[-1])
-    idf = np.log((1.0 + total) / (1.0 + seen[:-1])) + 1.0
+    counted = usable.select("text", "lang").mapInArrow(document_counts, "lang string, n array<bigint>")
+    summed = (
+        counted.select("lang", F.posexplode("n").alias("bucket", "n"))
+        .groupBy("lang", "bucket")
+        .agg(F.sum("n").alias("n"))
+    )
+    seen, by_language = np.zeros(BUCKETS, np.int64), {}
+    for lang, bucket, number in settle(summed, folder, "df").collect():
+        if lang is None:
+            seen[bucket] = number
+        else:
+            by_language[lang] = number
+    total = sum(by_language.values())
+    idf = np.log((1.0 + total) / (1.0 + seen)) + 1.0
+    if not total:
+        return Model([], np.zeros((0, BUCKETS)), np.zeros(0), idf, 1.0)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,8 +180,9 @@ def train(labelled: DataFrame, folder: str) -> Model:
                 ["draw", "lang", "at", "value"],
             )
 
-    share = SAMPLE_ROWS / max(1, total)
-    sample = usable.where(F.col("draw") < share).select("text", "lang", "draw")
+    shares = [(k, max(SAMPLE_ROWS / total, LANGUAGE_ROWS / n)) for k, n in by_language.items()]
+    picked = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    sample = usable.join(F.broadcast(picked), "lang").where("draw < share").select("text", "lang", "draw")
     rows = sample.mapInArrow(features, "draw double, lang string, at binary, value binary").collect()
     rows.sort(key=lambda r: (r["draw"], r["lang"], r["at"], r["value"]))
     languages = sorted({r["lang"] for r in rows})

@@ -90,3 +90,20 @@ def test_fit_is_sparse_and_separates():
     assert (weights == 0).mean() > 0.5
     right = [(weights[:, at] @ v + bias).argmax() == t for (at, v), t in zip(rows, targets, strict=True)]
     assert np.mean(right) > 0.97
+
+
+def test_signs_beyond_the_first_plane_are_no_letters(spark):
+    rows = corpus(200) + [(1000, "🎉🎈 😀", None, ""), (1001, "🎉🎈 😀", "en", ""), (1002, "𐐀𐐁𐐂", None, "")]
+    result = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [(result[i].lang_pred, result[i].score) for i in (1000, 1001)] == [("und", 0.0)] * 2
+    assert result[1002].lang_pred != "und"
+    assert (langid.counts("the 🎉 and") == langid.counts("the % and")).all()
+
+
+def test_rare_languages_are_in_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 20)
+    monkeypatch.setattr(langid, "LANGUAGE_ROWS", 15)
+    rows = corpus(3000) + [(5000 + i, "wrth gan ddim y mae hynny yn", "cy", "") for i in range(20)]
+    model = langid.fitted(spark.createDataFrame(rows, SCHEMA))
+    assert model.languages == ["cy", "de", "en", "es"]
+    assert langid.predict(model, "gan ddim y mae wrth")[0] == "cy"
