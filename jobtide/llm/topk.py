@@ -13,6 +13,7 @@ many rows there are.  The driver sees the moments of the components (one square
 largest length of each block.
 """
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,8 +108,11 @@ class Search:
 
 def _quantized(embeddings: DataFrame) -> DataFrame:
     """``vec_id``, ``v``: one row per id whose vector is usable."""
+    # ``floor`` of a double is a long; beyond its range doubles are whole numbers already.
+    big = lambda x: F.abs(x) >= F.lit(float(1 << 53))
+    scaled = lambda x: x.cast("double") * F.lit(float(SCALE))
     vector = F.transform(
-        "embedding", lambda x: F.floor(x.cast("double") * F.lit(float(SCALE))).cast("double")
+        "embedding", lambda x: F.when(big(x), scaled(x)).otherwise(F.floor(scaled(x)).cast("double"))
     )
     usable = F.forall(
         "embedding",
@@ -116,11 +120,6 @@ def _quantized(embeddings: DataFrame) -> DataFrame:
     )
     rows = embeddings.where("vec_id is not null and embedding is not null").where(usable)
     rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-    # ``floor`` of a double is a long; beyond its range doubles are whole numbers already.
-    big = F.exists("embedding", lambda x: F.abs(x) >= F.lit(float(1 << 53)))
-    vector = F.when(
-        big, F.transform("embedding", lambda x: x.cast("double") * F.lit(float(SCALE)))
-    ).otherwise(vector)
     return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select(
         "vec_id", vector.alias("v")
     )
@@ -145,16 +144,24 @@ def top_products(embeddings: DataFrame, is_query, k: int = K) -> DataFrame:
         folder,
         "quantized",
     )
-    parts = []
+    parts, blocks = [], 0
     for row in base.groupBy("width").count().collect():  # one row per dimension
         parts.append(_search(base.where(F.col("width") == row["width"]), row["width"], row["count"], is_query, k, f"{folder}/{row['width']}"))
+        blocks += -(-row["count"] // BLOCK_ROWS)
     schema = "query_id bigint, vec_id bigint, score bigint"
     found = spark.createDataFrame([], schema)
     for part in parts:
         found = found.unionByName(part)
     order = F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("v"))
-    # A query's finds: at most k from each candidate block.
-    best = found.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list(order)), 1, k).alias("b"))
+    # A query's finds are at most k from each candidate block: first the best of each of some
+    # parts, then of these.
+    split = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, math.isqrt(blocks))))
+    first = (
+        found.groupBy("query_id", split.alias("split"))
+        .agg(F.slice(F.sort_array(F.collect_list(order)), 1, k).alias("b"))
+        .select("query_id", F.explode("b").alias("b"))
+    )
+    best = first.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list("b")), 1, k).alias("b"))
     return best.select("query_id", F.posexplode("b").alias("at", "b")).select(
         "query_id",
         (F.col("at") + 1).cast("int").alias("rank"),

@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -57,3 +58,23 @@ def test_few_rows_and_odd_vectors(spark):
     assert found(spark, rows) == expected(rows)
     rows = [(0, [1e12], 0), (1, [1e12], 0), (2, [-1e12], 0)]
     assert [r[3] for r in found(spark, rows)] == [2**63 - 1, -(2**63 - 1)]
+
+
+def test_small_components_beside_a_huge_one(spark, monkeypatch):
+    rows = [(1, [2.0**60, 0.51, -0.51], 0), (2, [0.0, 1.0, 0.0], 0), (3, [0.0, 0.0, 1.0], 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {r.vec_id: r.v for r in topk._quantized(df).collect()}[1] == [2.0**66, 32.0, -33.0]
+    got = topk.top_products(df, F.col("vec_id") == 1, 2).collect()
+    assert sorted((r["rank"], r.vec_id, r.score) for r in got) == [(1, 2, 2048), (2, 3, -2112)]
+
+
+def test_merge_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 8)
+    draw = random.Random(8)
+    rows = [(i, [float(draw.randrange(-3, 4)) for _ in range(3)], 0) for i in range(80)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = topk.top_products(df, F.col("vec_id") < 3, 5).collect()
+    vectors = {i: v for i, v, _ in rows}
+    for q in range(3):
+        scores = sorted((-sum(int(a * 64) * int(b * 64) for a, b in zip(vectors[q], v, strict=True)), i) for i, v in vectors.items() if i != q)
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == [(i, -s) for s, i in scores[:5]]
