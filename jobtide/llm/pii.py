@@ -25,21 +25,21 @@ _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 # Kind, pattern, and the text that a mention cannot do without, in order of precedence.
 KINDS = (
-    ("secret", r"""(?<![\p{L}\p{N}])(?i:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)\s*[=:]\s*["']?(?=[^\s"']{0,200}[0-9])[A-Za-z0-9_+/=.~!@#$%^&*-]{6,}"""),
+    ("secret", r"""(?<![\p{L}\p{N}])(?i:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)["']?\s*[=:]\s*["']?[A-Za-z0-9_+/=.~!@#$%^&*-]{6,}"""),
     ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?(?:\.[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?)+"),
     ("iban", r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"),
-    ("ipv6", r"(?<![\p{L}\p{N}:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\p{L}\p{N}:])"),
+    ("ipv6", r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*[0-9])(?!(?:[0-9A-Fa-f]*:){9})(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\p{L}\p{N}:]|\.[0-9])"),
     ("mac", r"(?<![\p{L}\p{N}:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\p{L}\p{N}:-])"),
     ("ipv4", rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.[0-9])"),
     ("ssn", r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])"),
-    ("card", r"(?<![\p{L}\p{N}-])[3-6][0-9]{3}[ -]?(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}|[0-9]{6}[ -]?[0-9]{5})(?![\p{L}\p{N}])"),
-    ("phone", r"(?<![\p{L}\p{N}+(])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![\p{L}\p{N}])"),
+    ("card", r"(?<![\p{L}\p{N}-])(?:[3-6][0-9]{3}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720))[ -]?(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}|[0-9]{6}[ -]?[0-9]{5})(?![\p{L}\p{N}])"),
+    ("phone", r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?<!\()\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![\p{L}\p{N}])"),
     ("hex", r"(?<![\p{L}\p{N}])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,}(?![\p{L}\p{N}])"),
     ("name", rf"{_START}(?:{MALE}|{FEMALE})\.? +{_WORD}(?: {_WORD}){{0,2}}"),
 )
 _ANY = "|".join(f"(?:{pattern})" for _, pattern in KINDS)
 # Texts without these hold no mention; the search for them is cheap.
-_GATE = r"[0-9@]"
+_GATE = r"[0-9@]|(?i:key|secret|token|passw|pwd)"
 _TITLES = [*MALE.replace("Herrn?", "Herr").split("|"), *FEMALE.split("|")]
 
 # Letters that stand for the sixteen hexadecimal digits, by script.
@@ -137,6 +137,8 @@ def _surrogate(kind: Column, entity: Column, gender: Column, key: str, attempt:
             F.lit("."),
             top,
         )
+        # Of cards that begin with 2, only some series exist.
+        prefix = F.when(entity.startswith("2"), 4).otherwise(1)
         octets = F.array_join(
             F.transform(
                 F.sequence(F.lit(0), F.lit(3)),
@@ -155,7 +157,7 @@ def _surrogate(kind: Column, entity: Column, gender: Column, key: str, attempt:
         return (
             F.when(kind == "email", address)
             .when(kind == "ipv4", octets)
-            .when(kind == "card", _luhn(F.concat(F.substring(entity, 1, 1), F.substring(alike, F.lit(2), F.length(alike) - 1))))
+            .when(kind == "card", _luhn(F.concat(F.substring(entity, F.lit(1), prefix), F.substring(alike, prefix + 1, F.length(alike) - prefix))))
             .when(kind == "phone", F.concat(F.substring(entity, 1, 1), F.substring(alike, F.lit(2), F.length(alike) - 1)))
             .when(kind == "iban", F.concat(F.substring(entity, 1, 2), F.substring(alike, F.lit(3), F.length(alike) - 2)))
             .when((kind == "word") & gender.isin("m", "f"), named)

@@ -104,3 +104,26 @@ def test_documents_hold_no_original(spark, sf_dir):
     after = "\n".join(r.text for r in out)
     assert before and len(out) == docs.count()
     assert not [m for m in before if m in after]
+
+
+def test_forms_and_their_decoys(spark):
+    plants = {
+        "card 4539578763621486": "4539578763621486", "card 2223000048400011": "2223000048400011",
+        "(555-123-4567)": "555-123-4567", "(+49 30 1234567)": "+49 30 1234567", "555 123 4567": "555 123 4567",
+        "at 2001:db8::1 and": "2001:db8::1", "at fe80::1 and": "fe80::1", "from ::ffff:10.1.2.3 on": "10.1.2.3",
+        "password: hunterabcdef": "hunterabcdef", '{"password": "abc12345"}': "abc12345",
+    }
+    decoys = [
+        "id 2100000000000005", "id 2721000000000004", "std::vector a::b",
+        "1555 123 45678", "passwords are long", "the key: a b", "at 12:30:45", "x:: y",
+    ]
+    texts = [*plants, *decoys]
+    df = spark.createDataFrame([(i, t, "") for i, t in enumerate(texts)], SCHEMA)
+    out = sorted(pii.pseudonymized(df).collect(), key=lambda r: r.doc_id)
+    for (text, value), row in zip(plants.items(), out, strict=False):
+        before, after = text.split(value)
+        assert value not in row.text, text
+        assert row.text.startswith(before) and row.text.endswith(after), row.text
+        assert row[3] == 1
+    assert [r.text for r in out[len(plants) :]] == decoys
+    assert all(r[3] == 0 for r in out[len(plants) :])
