@@ -6,8 +6,9 @@ non-negative unbiased risk of du Plessis, Niu and others: trusted positives and
 stand in for labels, with the share of positives in the unlabelled text (the class prior)
 estimated beforehand from how the scores of a positive-against-unlabelled model are spread.
 
-Weights are fitted on bounded samples (``POSITIVE_ROWS``, ``UNLABELLED_ROWS``); every document is
-scored on its whole text.
+Weights are fitted on bounded samples (``POSITIVE_ROWS``, ``UNLABELLED_ROWS``); bin borders, class
+prior and the border of the decision come from all rows that may be learnt from, and every document
+is scored on its whole text.
 """
 
 from collections import Counter
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.llm.common import settle, workspace
 from jobtide.llm.langid import id_checksum
 
 POSITIVE_ROWS = 6000  # expected sizes of the samples
@@ -28,6 +30,7 @@ STEPS = 600
 RATE = 0.05
 PENALTY = 1e-4
 THRESHOLD = 0.7
+ACCURACY = 10000  # ranks of corpus quantiles are off by a part in so many at most
 _SLICE_BYTES = 1 << 22
 _ENDS = ".,;:!?"
 _FIGURES = 21
@@ -124,30 +127,51 @@ def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     At any threshold the unlabelled hold at least prior x (positives above it), so the least
     ratio of the two shares bounds the prior; each share is moved by its sampling error.
     """
-    cuts = np.quantile(positive, np.linspace(0.0, 0.9, 91))
-    p = 1.0 - np.searchsorted(np.sort(positive), cuts) / len(positive)
+    cuts = _cuts(positive)
     u = 1.0 - np.searchsorted(np.sort(unlabelled), cuts) / len(unlabelled)
-    error = np.sqrt(1.0 / len(positive)) + np.sqrt(1.0 / len(unlabelled))
+    return _prior(positive, u, len(unlabelled))
+
+
+def _cuts(positive: np.ndarray) -> np.ndarray:
+    return np.quantile(positive, np.linspace(0.0, 0.9, 91))
+
+
+def _prior(positive: np.ndarray, u: np.ndarray, number: int) -> float:
+    """The prior from the shares ``u`` of ``number`` unlabelled scores from each cut on."""
+    p = 1.0 - np.searchsorted(np.sort(positive), _cuts(positive)) / len(positive)
+    error = np.sqrt(1.0 / len(positive)) + np.sqrt(1.0 / number)
     ratio = (u + error) / (p + error)
     return float(np.clip(ratio.min(), 0.01, 0.99))
 
 
-def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
-    values = np.concatenate([positive, unlabelled])
-    edges = np.quantile(values, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T
+def fit(positive: np.ndarray, unlabelled: np.ndarray, rows: DataFrame | None = None) -> Model:
+    """Weights from the samples; what is a matter of the corpus from ``v`` of ``rows``, if given."""
+    shares = np.linspace(0, 1, BINS + 1)[1:-1]
+    if rows is None:
+        edges = np.quantile(np.concatenate([positive, unlabelled]), shares, axis=0).T
+    else:
+        cut = [F.percentile_approx(F.col("v")[j], shares.tolist(), ACCURACY) for j in range(_FIGURES)]
+        edges = np.array(list(rows.agg(*cut).first()))
     p, u = _binned(positive, edges), _binned(unlabelled, edges)
 
     def against(sp, su):
         return (_sigmoid(sp) - 1.0) / (2 * len(sp)), _sigmoid(su) / (2 * len(su))
 
     half = np.arange(len(p)) % 2 == 0, np.arange(len(u)) % 2 == 0
-    scores = [], []
+    scores, models = ([], []), []
     for side in (0, 1):  # scored by the model of the other half
         own = [h if side else ~h for h in half]
         weights, bias = _descend(p[own[0]], u[own[1]], against)
+        models.append((weights, bias))
         scores[0].append(_sums(weights, bias, p[~own[0]]))
         scores[1].append(_sums(weights, bias, u[~own[1]]))
-    prior = estimate_prior(np.concatenate(scores[0]), np.concatenate(scores[1]))
+    found = np.concatenate(scores[0])
+    if rows is None:
+        prior = estimate_prior(found, np.concatenate(scores[1]))
+    else:
+        above = [F.count_if(F.col("s") >= float(c)) for c in _cuts(found)]
+        number, *counts = _summed(rows, edges, models).agg(F.count("*"), *above).first()
+        prior = _prior(found, np.array(counts) / number, number)
 
     def non_negative(sp, su):
         # Logistic loss: softplus(-s) for a positive, softplus(s) for a negative.
@@ -160,7 +184,11 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
 
     weights, bias = _descend(p, u, non_negative)
     # The decision threshold is to admit the estimated share of the unlabelled.
-    border = np.quantile(_sums(weights, bias, u), 1.0 - prior)
+    if rows is None:
+        border = np.quantile(_sums(weights, bias, u), 1.0 - prior)
+    else:
+        middle = F.percentile_approx("s", 1.0 - prior, ACCURACY)
+        border = _summed(rows, edges, [(weights, bias)]).agg(middle).first()[0]
     return Model(edges, weights, bias + np.log(THRESHOLD / (1 - THRESHOLD)) - border, prior)
 
 
@@ -168,23 +196,43 @@ def scores(model: Model, values: np.ndarray) -> np.ndarray:
     return _sigmoid(_sums(model.weights, model.bias, _binned(values, model.edges)))
 
 
-def _measured(rows: DataFrame) -> np.ndarray:
-    """The figures of the texts of a bounded sample, in an order of their own."""
+def _summed(rows: DataFrame, edges: np.ndarray, models: list[tuple[np.ndarray, float]]) -> DataFrame:
+    """``s``: the sum of each row, by the models in turn."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.asarray(figures(t.as_py()), float).tolist() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64()))], ["v"])
+            values = np.asarray(batch.column(0).flatten()).reshape(-1, _FIGURES)
+            bins = _binned(values, edges)
+            sums = np.empty(len(bins))
+            for k, (weights, bias) in enumerate(models):
+                sums[k :: len(models)] = _sums(weights, bias, bins[k :: len(models)])
+            yield pa.RecordBatch.from_arrays([pa.array(sums, pa.float64())], ["s"])
 
-    found = sorted(row["v"] for row in rows.select("text").mapInArrow(work, "v array<double>").collect())
-    return np.array(found).reshape(-1, _FIGURES)
+    return rows.select("v").mapInArrow(work, "s double")
 
 
-def _sample(rows: DataFrame, size: int) -> DataFrame:
-    """About ``size`` rows, picked by a hash of their id."""
-    total = rows.count()
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    return rows.where(draw < size / max(1, total))
+def _measured(rows: DataFrame) -> DataFrame:
+    """``doc_id`` and the figures ``v`` of each text."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.asarray(figures(t.as_py()), float).tolist() for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.list_(pa.float64()))], ["doc_id", "v"]
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, v array<double>")
+
+
+def _sample(rows: DataFrame, size: int) -> np.ndarray:
+    """The figures of about ``size`` rows, in an order of their own.
+
+    Each row is drawn by itself, so rows that share an id or a text do not come all or none.
+    """
+    share = size / max(1, rows.count())
+    drawn = rows.where(F.rand(7) < share).select("v")
+    return np.array(sorted(row["v"] for row in drawn.collect())).reshape(-1, _FIGURES)
 
 
 def train(documents: DataFrame, labels: DataFrame, learnt: Column) -> Model:
@@ -198,12 +246,13 @@ def train(documents: DataFrame, labels: DataFrame, learnt: Column) -> Model:
         .where("quality = 1")
         .select("doc_id")
     )
-    unlabelled = _measured(_sample(texts, UNLABELLED_ROWS))
-    picked = _sample(trusted, POSITIVE_ROWS)
-    positive = _measured(texts.join(picked, "doc_id"))
+    folder = workspace(documents.sparkSession)
+    rows = settle(_measured(texts), folder, "figures")
+    unlabelled = _sample(rows, UNLABELLED_ROWS)
+    positive = _sample(settle(rows.join(trusted, "doc_id"), folder, "positive"), POSITIVE_ROWS)
     if len(positive) < 2 or len(unlabelled) < 2:
         return Model(np.zeros((_FIGURES, BINS - 1)), np.zeros((_FIGURES, BINS)), 0.0, 0.5)
-    return fit(positive, unlabelled)
+    return fit(positive, unlabelled, rows)
 
 
 def score_documents(documents: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:

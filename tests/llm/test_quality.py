@@ -68,3 +68,18 @@ def test_prior_of_a_known_mixture():
     positive = draw.normal(3, 1, 5000)
     unlabelled = np.concatenate([draw.normal(3, 1, 6000), draw.normal(-3, 1, 4000)])
     assert abs(quality.estimate_prior(positive, unlabelled) - 0.6) < 0.04
+
+
+def test_sample_stays_bounded_under_one_id(spark, monkeypatch):
+    monkeypatch.setattr(quality, "UNLABELLED_ROWS", 200)
+    monkeypatch.setattr(quality, "POSITIVE_ROWS", 100)
+    sizes = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda p, u, *rest: sizes.append((len(p), len(u))) or fit(p, u, *rest))
+    rows = corpus(1500)
+    docs = spark.createDataFrame([(None if i % 3 == 0 else 1 if i % 3 == 1 else i, t, 0) for i, t, _ in rows], DOCS)
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows] + [(1, 1, 0)], LABELS)
+    result = quality.score_documents(docs, labels).collect()
+    assert len(result) == len(rows)
+    (positive, unlabelled), = sizes
+    assert 40 < positive < 200 and 120 < unlabelled < 300
