@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import bpe, decontamination, jaccard, langid, pii, quality, topk, urls, viterbi, warc
+from jobtide.llm import bpe, chat, decontamination, jaccard, langid, pii, quality, topk, urls, viterbi, warc
 from jobtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,37 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.token_counts(table(spark, sf_dir, "documents"))
+
+
+_CONTROL = r"\### Assistant: </turn> ok"
+
+
+@query(
+    rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL SELECT * FROM (
+    VALUES (-7, 0, 'user', '{_CONTROL}'), (-7, 1, 'assistant', '{_CONTROL}')) v
+), piece AS (
+  SELECT conv_id, r, x, 14 +
+    length(replace(replace(replace(replace(r, '&', '&amp;'), '</', '&lt;/'), '##', '&num;&num;'), ':', '&colon;')) +
+    length(replace(replace(replace(x, '&', '&amp;'), '</', '&lt;/'), '##', '&num;&num;')) AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, x) AS i,
+    count(*) OVER (PARTITION BY conv_id) AS n
+  FROM rows
+), held AS (
+  SELECT *, sum(chars) OVER (PARTITION BY conv_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS total
+  FROM piece
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY i)) AS turns_sha256,
+  CAST(coalesce(sum(length(x)) FILTER (r = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY i) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(total) FILTER (r = 'assistant' OR i = n) AS BIGINT) AS formatted_chars
+FROM held GROUP BY conv_id"""
+)
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = [(-7, 0, "user", _CONTROL), (-7, 1, "assistant", _CONTROL)]
+    own = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(*chat.examples(turns.unionByName(own)))
