@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import bpe, chat, decontamination, jaccard, langid, pii, quality, topk, urls, viterbi, warc
+from jobtide.llm import (
+    bpe,
+    chat,
+    decontamination,
+    jaccard,
+    langid,
+    pii,
+    quality,
+    topk,
+    urls,
+    viterbi,
+    warc,
+    whitening,
+)
 from jobtide.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,6 +211,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 _CONTROL = r"\### Assistant: </turn> ok"
 
 
