@@ -17,6 +17,7 @@ from jobtide.llm import (
     pii,
     quality,
     topk,
+    trie,
     urls,
     viterbi,
     warc,
@@ -211,6 +212,53 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query(
+    """
+WITH RECURSIVE crc AS (
+  SELECT conv_id, CAST(xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda v, z: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 9 AS INTEGER) AS h
+  FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL) c
+), said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x,
+    sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'id': id, 'b': strlen(x)} ORDER BY turn NULLS FIRST, r, id) AS t
+  FROM said GROUP BY conv_id
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(b.t, [])[1:h], o.t[h + 1:]) AS t
+  FROM own o JOIN crc USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5
+), step AS (
+  SELECT conv_id, t, d, sha256(array_to_string(list_transform(t[1:d], lambda e: e.id), '')) AS node,
+    CASE WHEN d > 0 THEN sha256(array_to_string(list_transform(t[1:d - 1], lambda e: e.id), '')) END AS up
+  FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt) x
+), node AS (
+  SELECT node, any_value(up) AS up, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n,
+    CASE WHEN any_value(d) > 0 THEN (count(*) - 1) * any_value(t[d].b) ELSE 0 END AS saved,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(t) = d), '')) AS ends
+  FROM step GROUP BY node
+), kids AS (
+  SELECT up AS node, count(*) AS n_children FROM node WHERE up IS NOT NULL GROUP BY up
+), above AS (
+  SELECT node AS top, node, up, saved, CASE WHEN n_children IS NULL THEN 1 ELSE 0 END AS leaf
+  FROM node LEFT JOIN kids USING (node)
+  UNION ALL
+  SELECT n.node, a.node, n.up, a.saved, a.leaf FROM above a JOIN node n ON n.node = a.up
+), sums AS (
+  SELECT top AS node, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY top
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs,
+  coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM node n LEFT JOIN node p ON p.node = n.up LEFT JOIN kids k ON k.node = n.node
+  JOIN sums s ON s.node = n.node"""
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"), 5, 9)
+
+
 @query()
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
