@@ -19,14 +19,16 @@ from jobtide.llm.common import let, settle, unused, workspace
 
 MALE = r"Mr|Sir|Herrn?|Monsieur|Señor|Sr|Господин|г-н|Κύριος|Κος"
 FEMALE = r"Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Mademoiselle|Señora|Señorita|Sra|Srta|Госпожа|г-жа|Κυρία|Κα"
-_WORD = r"\p{Lu}[\p{L}\p{M}]*(?:['’-]\p{Lu}[\p{L}\p{M}]*)*"
+# Repeated groups are possessive: the engine then goes through them in a loop, not in calls.
+_WORD = r"\p{Lu}[\p{L}\p{M}]*+(?:['’-]\p{Lu}[\p{L}\p{M}]*+)*+"
+_LABEL = r"[\p{L}\p{N}]++(?:-++[\p{L}\p{N}]++)*+"
 _START = r"(?<![\p{L}\p{N}])"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 
 # Kind, pattern, and the text that a mention cannot do without, in order of precedence.
 KINDS = (
     ("secret", r"""(?<![\p{L}\p{N}])(?i:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|pwd)["']?\s*[=:]\s*["']?[A-Za-z0-9_+/=.~!@#$%^&*-]{6,}"""),
-    ("email", r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*@[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?(?:\.[\p{L}\p{N}](?:[\p{L}\p{N}-]*[\p{L}\p{N}])?)+"),
+    ("email", rf"(?<![\p{{L}}\p{{N}}._%+-])[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}._%+-]*+@{_LABEL}(?:\.{_LABEL})++"),
     ("iban", r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"),
     ("ipv6", r"(?<![\p{L}\p{N}:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*[0-9])(?!(?:[0-9A-Fa-f]*:){9})(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?)(?![\p{L}\p{N}:]|\.[0-9])"),
     ("mac", r"(?<![\p{L}\p{N}:-])[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}(?![\p{L}\p{N}:-])"),
