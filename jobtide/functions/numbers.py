@@ -8,8 +8,10 @@ from jobtide.functions.text import java_regex, matches
 
 # What Python's float() reads: digits with single underscores between them, an
 # exponent, or one of the special names.  Java also reads "12d" and hex floats.
+# Digits are taken possessively, in a loop: a long run of them must not fill the stack.
+_DIGITS = r"\d++(?:_\d++)*+"
 _FLOAT_TEXT = (
-    r"(?i)^\s*[+-]?((\d(_?\d)*\.?(\d(_?\d)*)?|\.\d(_?\d)*)(e[+-]?\d(_?\d)*)?"
+    rf"(?i)^\s*+[+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
     r"|inf|infinity)\s*$"
 )
 

@@ -38,8 +38,8 @@ _COLUMNS = {
         WHEN 2 THEN '60K to 80K' WHEN 3 THEN '$85k+' WHEN 4 THEN '85k'
         WHEN 5 THEN '$45000 to $ 120000' WHEN 6 THEN '$999 or $5000' WHEN 7 THEN '$90,000'
         WHEN 8 THEN '$90-120k' WHEN 9 THEN 'competitive' WHEN 10 THEN '' ELSE NULL END""",
-    "salary_num_text": """CASE k % 8 WHEN 0 THEN '85000' WHEN 1 THEN '0' WHEN 2 THEN '-3'
-        WHEN 3 THEN 'nan' WHEN 4 THEN '' WHEN 5 THEN NULL WHEN 6 THEN 'abc' ELSE '1e5' END""",
+    "salary_num_text": """CASE WHEN k % 4000 = 6 THEN concat(repeat('0', 20000), '85000') ELSE CASE k % 8 WHEN 0 THEN '85000' WHEN 1 THEN '0' WHEN 2 THEN '-3'
+        WHEN 3 THEN 'nan' WHEN 4 THEN '' WHEN 5 THEN NULL WHEN 6 THEN 'abc' ELSE '1e5' END END""",
     "salary_min_usd": """CASE WHEN sk % 5 < 2 THEN NULL WHEN pk % 50 = 0 THEN CAST(5000 AS DOUBLE)
         WHEN pk % 97 = 0 THEN CAST(130000 + (pk * 37 % 131) * 1000 AS DOUBLE)
         ELSE CAST(30000 + (pk * 37 % 131) * 1000 AS DOUBLE) END""",

@@ -1,4 +1,5 @@
 import html
+import random
 import re
 
 import pytest
@@ -68,6 +69,12 @@ def test_positive_number(spark):
     assert evaluate(spark, NUMBERS, numbers.positive_number) == list(NUMBERS.values())
 
 
+def test_positive_number_of_long_text(spark):
+    """No run of digits, however long, may fill the stack."""
+    texts = ["0" * 100_000 + "85", "1_" * 100_000 + "1", "1_" * 100_000, "." + "0" * 100_000 + "1e100005", "9" * 100_000 + "x"]
+    assert evaluate(spark, texts, numbers.positive_number) == [85.0, float("inf"), None, 1e4, None]
+
+
 TITLES = {
     "Senior Data Analyst": ("senior", "Data Analyst"),
     "Analytics Engineer": ("mid", "Analytics Engineer"),
@@ -187,9 +194,9 @@ def test_industry(spark):
     assert evaluate(spark, cases, _industry_text) == list(cases.values())
 
 
-def found_skills(spark, values, rows=None):
+def found_skills(spark, values, rows=None, **many):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x string")
-    out = skills.match_skills(df, F.col("x"), rows or default_skills(), "found").collect()
+    out = skills.match_skills(df, F.col("x"), rows or default_skills(), "found", **many).collect()
     return [row.found for row in sorted(out, key=lambda row: row.i)]
 
 
@@ -231,6 +238,23 @@ SEPARATORS = [" ", "\n", ", ", "-", "_", "", "/", "é", " ", ";"]
 def test_skills_like_python(spark, drawn):
     values = ["".join(a + b for a, b in pairs) for pairs in drawn]
     assert found_skills(spark, values) == [python_skills(v) for v in values]
+    assert found_skills(spark, values, many=1) == [python_skills(v) for v in values]
+
+
+def test_one_pass_over_thousands_of_patterns(spark):
+    """Texts that begin with, overlap and hold one another; patterns without any."""
+    made = [skills.Skill(f"s{i}", "c", rf"(?i)\b{w}{i % 40}\b") for i, w in enumerate(["data", "dat", "model", "da ta"] * 60)]
+    made += [skills.Skill(f"n{i}", "c", rf"(?i)ata{i}|\bmodel{i}x\b") for i in range(40)]
+    made += [skills.Skill("any", "c", r"(?i)[0-9]{3}"), skills.Skill("two", "c", r"\bGX\b"), skills.Skill("r", "c", r"R")]
+    made += default_skills()
+    rng = random.Random(2)
+    words = ["data", "dat", "model", "da ta", "ata", "GX", "gx", "R", "sql", "é", "_", "x"]
+    values = ["".join(rng.choice(words) + rng.choice(["", " ", "7", "12", "39", "-"]) for _ in range(30)) for _ in range(60)]
+    assert len(made) >= skills.MANY_PATTERNS
+    expected = [[s.skill for s in made if re.search(s.regex, v)] for v in values]
+    assert found_skills(spark, values, made) == expected == found_skills(spark, values, made, many=10**6)
+    assert found_skills(spark, ["", None], made) == [[], []]
+    assert found_skills(spark, ["sql"], [skills.Skill("any", "c", "[0-9]")] * 300) == [[]]
 
 
 @pytest.mark.parametrize("word", WORDS)
