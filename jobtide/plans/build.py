@@ -1,4 +1,4 @@
-"""The model build: raw postings to written marts, checks included."""
+"""The model build: raw postings to published marts, checks included."""
 
 from collections.abc import Sequence
 
@@ -6,22 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.plans import marts, quality, staging
 from jobtide.schemas import MARTS
+from jobtide.sources.published import announce, current_folder, new_version, version_folder
 from jobtide.sources.tables import read_mart, read_raw, write_mart
 
+AUDIT = "check_name string, severity string, n_failed bigint, status string"
+
 
 def views(raw: DataFrame) -> dict[str, DataFrame]:
     """The lazy relations, which are never written."""
     return {"stg_jobs": staging.stg_jobs(raw), "int_jobs_latest": staging.jobs_latest(raw)}
 
 
-def build_marts(raw: DataFrame, taxonomy: DataFrame, root: str) -> dict[str, DataFrame]:
+def build_marts(
+    raw: DataFrame, taxonomy: DataFrame, root: str, postings: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Write all marts, each from the written ones before it.
 
-    The raw table is shuffled once, for the fact table; what follows reads the
-    written fact table, and the trend reads two columns of the raw table.
+    The raw table is shuffled once, for the fact table, unless its rows are given; what follows
+    reads the written fact table, and the trend reads two columns of the raw table.
     """
     stg = staging.stg_jobs(raw)
-    postings = write_mart(marts.fct_job_postings(raw), root, "fct_job_postings")
+    if postings is None:
+        postings = marts.fct_job_postings(raw)
+    postings = write_mart(postings, root, "fct_job_postings")
     mentions = write_mart(
         marts.fct_skill_mentions(postings, taxonomy), root, "fct_skill_mentions"
     )
@@ -31,6 +38,40 @@ def build_marts(raw: DataFrame, taxonomy: DataFrame, root: str) -> dict[str, Dat
     return {name: read_mart(raw.sparkSession, root, name) for name in MARTS}
 
 
+def audit(
+    raw: DataFrame,
+    taxonomy: DataFrame,
+    built: dict[str, DataFrame],
+    folder: str,
+    checks: Sequence[quality.Check] = quality.CHECKS,
+) -> DataFrame:
+    """The outcome of the checks on written marts, kept beside them whatever it is."""
+    relations = {"raw_job_postings": raw, "skill_taxonomy": taxonomy, **views(raw), **built}
+    path = f"{folder}/audit"
+    quality.summary(relations, checks).coalesce(1).write.mode("overwrite").parquet(path)
+    return raw.sparkSession.read.schema(AUDIT).parquet(path)
+
+
+def publish(
+    raw: DataFrame,
+    taxonomy: DataFrame,
+    root: str,
+    checks: Sequence[quality.Check] = quality.CHECKS,
+    postings: DataFrame | None = None,
+) -> list:
+    """Write the marts as a new version, check that version, and only then let readers see it.
+
+    Warnings are reported in the rows handed back; errors raise, and readers keep the version
+    they had.  The rejected version stays in its folder with the outcome of its checks.
+    """
+    version = new_version()
+    folder = version_folder(root, version)
+    built = build_marts(raw, taxonomy, folder, postings)
+    rows = quality.enforce(audit(raw, taxonomy, built, folder, checks))
+    announce(raw.sparkSession, root, version)
+    return rows
+
+
 def build(
     spark: SparkSession,
     table: str,
@@ -38,18 +79,14 @@ def build(
     root: str,
     checks: Sequence[quality.Check] = quality.CHECKS,
 ) -> list:
-    """Build the marts from the stored raw table, then run the checks.
+    """Publish the marts of the stored raw table."""
+    return publish(read_raw(spark, table), taxonomy, root, checks)
 
-    Warnings are reported in the rows handed back; errors raise.
-    """
-    raw = read_raw(spark, table)
-    relations = {
-        "raw_job_postings": raw,
-        "skill_taxonomy": taxonomy,
-        **views(raw),
-        **build_marts(raw, taxonomy, root),
-    }
-    return quality.enforce(quality.summary(relations, checks))
+
+def published_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All marts, of one and the same version."""
+    folder = current_folder(spark, root)
+    return {name: read_mart(spark, folder, name) for name in MARTS}
 
 
 def open_views(spark: SparkSession, table: str, taxonomy: DataFrame, root: str) -> None:
@@ -62,6 +99,5 @@ def open_views(spark: SparkSession, table: str, taxonomy: DataFrame, root: str)
     taxonomy.createOrReplaceTempView("skill_taxonomy")
     for name, view in views(raw).items():
         view.createOrReplaceTempView(name)
-    for name in MARTS:
-        mart = read_mart(spark, root, name)
+    for name, mart in published_marts(spark, root).items():
         (mart.cache() if name.startswith("agg_") else mart).createOrReplaceTempView(name)

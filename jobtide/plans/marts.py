@@ -17,7 +17,7 @@ from jobtide.schemas import FCT_JOB_POSTINGS, RAW
 
 # What the fact table takes from the latest version.  The description, by far
 # the widest column, is not among them and so never leaves the scan.
-_LATEST_COLUMNS = tuple(c for c in RAW.names if c != "description_text")
+LATEST_COLUMNS = tuple(c for c in RAW.names if c != "description_text")
 
 
 def _lifecycle() -> list[Column]:
@@ -51,10 +51,14 @@ def fct_job_postings(raw: DataFrame) -> DataFrame:
     shuffle instead of a window, an aggregation and a join.
     """
     named = raw.where("source is not null and external_id is not null")
-    jobs = latest_versions(named, _LATEST_COLUMNS, _lifecycle()).select(
+    jobs = latest_versions(named, LATEST_COLUMNS, _lifecycle()).select(
         "_latest.*", F.lit(None).cast("string").alias("description_text"), *_LIFECYCLE
     )
-    market_snapshot = raw.agg(F.max(F.col("snapshot_date").cast("date"))).scalar()
+    return fact_rows(jobs, raw.agg(F.max(F.col("snapshot_date").cast("date"))).scalar())
+
+
+def fact_rows(jobs: DataFrame, market_snapshot: Column) -> DataFrame:
+    """Latest versions with their lifecycle as rows of the fact table."""
     days = F.datediff("last_seen_date", "first_seen_date")
     return (
         stg_jobs(jobs, *_LIFECYCLE)

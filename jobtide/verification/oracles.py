@@ -200,11 +200,16 @@ def _needed(relation: str, found: dict[str, str]) -> None:
     found.setdefault(relation, text)
 
 
-def over(relations: tuple[str, ...], select: str) -> str:
-    """``select`` with the relations it reads in front of it."""
+def over(relations: tuple[str, ...], select: str, raw: str | None = None) -> str:
+    """``select`` with the relations it reads in front of it.
+
+    ``raw`` is what to read from ``first_raw`` in place of the raw table as it is.
+    """
     found: dict[str, str] = {}
     for relation in relations:
         _needed(relation, found)
+    if raw:
+        found = {"first_raw": found["raw"]} | found | {"raw": raw}
     ctes = ",\n".join(f"{name} AS ({text})" for name, text in found.items())
     return f"WITH {ctes}\n{select}" if ctes else select
 

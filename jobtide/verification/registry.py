@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as V
 from jobtide.functions import classify, numbers, skills, text
 from jobtide.operators.versions import first_per_key
-from jobtide.plans import marts, quality, reports, staging
+from jobtide.plans import build, incremental, marts, quality, reports, staging
 from jobtide.schemas import RAW
 from jobtide.sources import boards
 from jobtide.sources.tables import archive_snapshot, read_raw, scratch_folder, upsert_snapshot
@@ -643,14 +643,23 @@ _RERUN = """source IN ('remoteok', 'jobicy') AND snapshot_date =
   (SELECT max(snapshot_date) FROM raw)"""
 
 
-@query(
-    O.over(
-        ("raw",),
-        f"""SELECT {_STORED} FROM (SELECT * REPLACE (
-  CASE WHEN {_RERUN} THEN concat(title, ' (updated)') ELSE title END AS title) FROM raw
-  WHERE NOT ({_RERUN}) OR CAST(external_id AS BIGINT) % 3 <> 0) r""",
-    )
-)
+def _rerun_sql(raw: str) -> str:
+    return f"""SELECT * REPLACE (CASE WHEN {_RERUN.replace("raw", raw)} THEN concat(title, ' (updated)')
+  ELSE title END AS title) FROM {raw}
+  WHERE NOT ({_RERUN.replace("raw", raw)}) OR CAST(external_id AS BIGINT) % 3 <> 0"""
+
+
+def _rerun(batch: DataFrame) -> DataFrame:
+    """A second run of the last snapshot for two boards, with other titles and fewer rows."""
+    last = batch.agg(F.max("snapshot_date")).scalar()
+    return batch.where(
+        (F.col("snapshot_date") == last)
+        & F.col("source").isin("remoteok", "jobicy")
+        & (F.col("external_id").cast("bigint") % 3 != 0)
+    ).withColumn("title", F.concat("title", F.lit(" (updated)")))
+
+
+@query(O.over(("raw",), f"SELECT {_STORED} FROM ({_rerun_sql('raw')}) r"))
 def snapshot_upsert(r: Relations) -> DataFrame:
     """The stored table after a second run of the last snapshot that reached two boards.
 
@@ -659,13 +668,7 @@ def snapshot_upsert(r: Relations) -> DataFrame:
     path = f"{scratch_folder(r.spark)}/raw"
     batch = r.stored_batch
     upsert_snapshot(batch, path)
-    last = batch.agg(F.max("snapshot_date")).scalar()
-    rerun = batch.where(
-        (F.col("snapshot_date") == last)
-        & F.col("source").isin("remoteok", "jobicy")
-        & (F.col("external_id").cast("bigint") % 3 != 0)
-    ).withColumn("title", F.concat("title", F.lit(" (updated)")))
-    upsert_snapshot(rerun, path)
+    upsert_snapshot(_rerun(batch), path)
     return _unzoned(read_raw(r.spark, path))
 
 
@@ -686,3 +689,39 @@ def snapshot_archive(r: Relations) -> DataFrame:
         batch.where((F.col("snapshot_date") == last) & (F.col("source") == "arbeitnow")), path
     )
     return _unzoned(read_raw(r.spark, path))
+
+
+@query(O.over(("fct",), "SELECT * FROM fct", raw=_rerun_sql("first_raw")))
+def fct_incremental(r: Relations) -> DataFrame:
+    """The fact table after four updates: early snapshots, the next two, and a second run.
+
+    The second run takes versions away that had won, and changes others.
+    """
+    folder = scratch_folder(r.spark)
+    batch = r.stored_batch
+    steps = (
+        batch.where("snapshot_date <= '2026-02-02'"),
+        batch.where("snapshot_date = '2026-02-09'"),
+        batch.where("snapshot_date = '2026-02-16'"),
+        _rerun(batch),
+    )
+    for step in steps:
+        upsert_snapshot(step, f"{folder}/raw")
+        incremental.update(r.spark, f"{folder}/raw", f"{folder}/state")
+    return incremental.fct_job_postings(r.spark, f"{folder}/state")
+
+
+@query(O.over(("demand",), "SELECT * FROM demand"))
+def published_demand(r: Relations) -> DataFrame:
+    """A written mart as readers see it, after a build that its checks turned down."""
+    root = scratch_folder(r.spark)
+    raw = r.raw.select(*RAW.names)
+    # The postings name some skills twice.
+    checks = [c for c in quality.CHECKS if c.column != "mention_id"]
+    build.publish(raw, r.taxonomy, root, checks)
+    planted = raw.withColumn("title", F.when(F.col("source") != "jobicy", F.col("title")))
+    try:
+        build.publish(planted.where("source <> 'remotive'"), r.taxonomy, root, checks)
+    except quality.QualityError:
+        return build.published_marts(r.spark, root)["agg_skill_demand"]
+    raise AssertionError("a mart with missing titles was published")
