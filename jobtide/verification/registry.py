@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from jobtide import fixed_values as V
 from jobtide.functions import classify, numbers, skills, text
 from jobtide.operators.versions import first_per_key
-from jobtide.plans import build, incremental, marts, quality, reports, staging
+from jobtide.plans import build, incremental, ingest, marts, quality, reports, staging
 from jobtide.schemas import RAW
 from jobtide.sources import boards
+from jobtide.sources.payloads import read_pages
 from jobtide.sources.tables import archive_snapshot, read_raw, scratch_folder, upsert_snapshot
 from jobtide.sources.taxonomy import default_skills, default_taxonomy
 from jobtide.verification import oracles as O
@@ -619,6 +620,30 @@ def source_arbeitnow(r: Relations) -> DataFrame:
     return boards.arbeitnow(payloads.arbeitnow(r.raw))
 
 
+@query(O.ARBEITNOW)
+def source_arbeitnow_cut(r: Relations) -> DataFrame:
+    """The board's jobs as one large page, which is cut at its elements."""
+    folder = f"{scratch_folder(r.spark)}/arbeitnow"
+    payloads.land_as_one_page(payloads.arbeitnow(r.raw), "data", folder)
+    return boards.arbeitnow(read_pages(r.spark, folder, "data", 1 << 20))
+
+
+@query(O.ARBEITNOW)
+def ingest_beside_failed_board(r: Relations) -> DataFrame:
+    """What is stored of a good board when another one sends no JSON and the rest nothing."""
+    folder, day = scratch_folder(r.spark), "2026-02-16"
+    payloads.land_as_one_page(payloads.arbeitnow(r.raw), "data", f"{folder}/landing/{day}/arbeitnow")
+    broken = r.raw.select(F.concat(F.lit("<p>"), F.max("title")).alias("value"))
+    broken.write.text(f"{folder}/landing/{day}/jobicy")
+    result = ingest.run_ingestion(
+        r.spark, f"{folder}/landing", f"{folder}/raw", f"{folder}/archive", day, _LAST_FETCH, default_skills()
+    )
+    if set(result.counts) != {"arbeitnow"}:
+        raise AssertionError(f"stored: {result.counts}")
+    given = ("fetched_at", "snapshot_date", "skills", "seniority", "role_family")
+    return read_raw(r.spark, f"{folder}/raw").drop(*given)
+
+
 @query(O.DEDUPE)
 def dedupe_first_wins(r: Relations) -> DataFrame:
     """First row per id over two overlapping feeds."""
