@@ -83,14 +83,14 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+  SELECT q.n, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.n <> c.n WHERE q.vec_id % 20 = 0
 ), r AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+  SELECT *, CAST(row_number() OVER (PARTITION BY n ORDER BY score DESC, vec_id) AS INTEGER)
     AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""

@@ -33,6 +33,7 @@ CHUNK = 1024
 # Sums of products below this are exact in double precision.
 _EXACT = float(1 << 52)
 _LONG = (1 << 63) - 1
+_FOUND = "query_row bigint, query_id bigint, vec_id bigint, score bigint"
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -52,11 +53,13 @@ def _exact_products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 class Search:
     """The best ``k`` rows so far for each query of a block."""
 
-    def __init__(self, ids: np.ndarray, k: int, floor: np.ndarray):
-        self.ids, self.k, self.floor = ids, k, floor.astype(np.float64)
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray):
+        self.own, self.ids, self.k, self.floor = rows, ids, k, floor.astype(np.float64)
         self.best: list[list[tuple]] = [[] for _ in ids]
 
-    def visit(self, q: np.ndarray, qr: np.ndarray, ids: np.ndarray, c: np.ndarray, cr: np.ndarray):
+    def visit(
+        self, q: np.ndarray, qr: np.ndarray, rows: np.ndarray, ids: np.ndarray, c: np.ndarray, cr: np.ndarray
+    ):
         """Rows in descending length: ``q``, ``c`` integers, ``qr``, ``cr`` rotated."""
         head = min(HEAD, q.shape[1])
         q_tail = np.linalg.norm(qr[:, head:], axis=1)
@@ -72,7 +75,7 @@ class Search:
             at = np.flatnonzero(alive)
             bound = qr[at, :head] @ cr[part, :head].T + np.outer(q_tail[at], c_tail[part])
             near = bound + slack[at, None] >= self.floor[at, None]
-            near &= self.ids[at, None] != ids[None, part]
+            near &= self.own[at, None] != rows[None, part]
             columns = np.flatnonzero(near.any(axis=0))
             if not len(columns):
                 continue
@@ -86,8 +89,8 @@ class Search:
                     good = good[scores[i][good] >= least]  # ties of the last one stay
                 if not len(good):
                     continue
-                rows = [(-scores[i, j], found_ids[j]) for j in good]
-                kept = sorted(self.best[row] + rows)[: self.k]
+                better = [(-scores[i, j], found_ids[j]) for j in good]
+                kept = sorted(self.best[row] + better)[: self.k]
                 self.best[row] = kept
                 if len(kept) == self.k:
                     # Beyond exact doubles a step lower, so that no tie is lost.
@@ -98,16 +101,16 @@ class Search:
     def rows(self) -> pd.DataFrame:
         return pd.DataFrame(
             [
-                (int(query), int(vec), int(-score))
-                for query, found in zip(self.ids, self.best, strict=True)
+                (int(own), int(query), int(vec), int(-score))
+                for own, query, found in zip(self.own, self.ids, self.best, strict=True)
                 for score, vec in found
             ],
-            columns=["query_id", "vec_id", "score"],
+            columns=["query_row", "query_id", "vec_id", "score"],
         )
 
 
 def _quantized(embeddings: DataFrame) -> DataFrame:
-    """``vec_id``, ``v``: one row per id whose vector is usable."""
+    """``vec_id``, ``v``, ``row`` of the rows whose vector is usable; ``row`` is theirs alone."""
     # ``floor`` of a double is a long; beyond its range doubles are whole numbers already.
     big = lambda x: F.abs(x) >= F.lit(float(1 << 53))
     scaled = lambda x: x.cast("double") * F.lit(float(SCALE))
@@ -120,9 +123,7 @@ def _quantized(embeddings: DataFrame) -> DataFrame:
     )
     rows = embeddings.where("vec_id is not null and embedding is not null").where(usable)
     rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-    return rows.groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select(
-        "vec_id", vector.alias("v")
-    )
+    return rows.select("vec_id", vector.alias("v"), F.monotonically_increasing_id().alias("row"))
 
 
 def top_products(embeddings: DataFrame, is_query, k: int = K) -> DataFrame:
@@ -130,9 +131,10 @@ def top_products(embeddings: DataFrame, is_query, k: int = K) -> DataFrame:
 
     ``embeddings`` needs ``vec_id`` and ``embedding``; ``is_query`` is a condition on ``vec_id``.
     Returns ``query_id, rank, vec_id, score``; equal scores rank by smaller id.  Rows without an
-    id, null vectors and vectors with null or non-finite components take no part.  Rows that
-    repeat an id count once, with the smallest vector.  Only vectors of one length (dimension)
-    are compared; empty ones score 0.  Scores beyond a long stay at its ends.  No row, or only
+    id, null vectors and vectors with null or non-finite components take no part.  Every
+    row is a candidate of its own and, if it meets the condition, a query of its own, also where
+    rows share an id or a vector.  Only vectors of one length (dimension) are compared; empty ones
+    score 0.  Scores beyond a long stay at its ends.  No row, or only
     one, gives no result.
     """
     spark = embeddings.sparkSession
@@ -148,7 +150,7 @@ def top_products(embeddings: DataFrame, is_query, k: int = K) -> DataFrame:
     for row in base.groupBy("width").count().collect():  # one row per dimension
         parts.append(_search(base.where(F.col("width") == row["width"]), row["width"], row["count"], is_query, k, f"{folder}/{row['width']}"))
         blocks += -(-row["count"] // BLOCK_ROWS)
-    schema = "query_id bigint, vec_id bigint, score bigint"
+    schema = _FOUND
     found = spark.createDataFrame([], schema)
     for part in parts:
         found = found.unionByName(part)
@@ -157,11 +159,11 @@ def top_products(embeddings: DataFrame, is_query, k: int = K) -> DataFrame:
     # parts, then of these.
     split = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, math.isqrt(blocks))))
     first = (
-        found.groupBy("query_id", split.alias("split"))
+        found.groupBy("query_row", "query_id", split.alias("split"))
         .agg(F.slice(F.sort_array(F.collect_list(order)), 1, k).alias("b"))
-        .select("query_id", F.explode("b").alias("b"))
+        .select("query_row", "query_id", F.explode("b").alias("b"))
     )
-    best = first.groupBy("query_id").agg(F.slice(F.sort_array(F.collect_list("b")), 1, k).alias("b"))
+    best = first.groupBy("query_row", "query_id").agg(F.slice(F.sort_array(F.collect_list("b")), 1, k).alias("b"))
     return best.select("query_id", F.posexplode("b").alias("at", "b")).select(
         "query_id",
         (F.col("at") + 1).cast("int").alias("rank"),
@@ -195,6 +197,7 @@ def _search(base: DataFrame, width: int, count: int, is_query, k: int, folder: s
             yield pd.DataFrame(
                 {
                     "block": number,
+                    "row": batch["row"],
                     "vec_id": batch["vec_id"],
                     "len": batch["len"],
                     "v": [r.tobytes() for r in rows],
@@ -202,8 +205,8 @@ def _search(base: DataFrame, width: int, count: int, is_query, k: int, folder: s
                 }
             )
 
-    kind = "block int, vec_id bigint, len double, v binary, r binary"
-    dealt = base.repartitionByRange(blocks, F.desc("len"), "vec_id")
+    kind = "block int, row bigint, vec_id bigint, len double, v binary, r binary"
+    dealt = base.repartitionByRange(blocks, F.desc("len"), "vec_id", "row")
     rows = settle(dealt.mapInPandas(block, kind), folder, "blocks")
     longest = {
         row["block"]: row["top"]
@@ -211,45 +214,47 @@ def _search(base: DataFrame, width: int, count: int, is_query, k: int, folder: s
     }
     tops = np.array([longest.get(b, 0.0) for b in range(max(longest, default=0) + 1)])
     queries = rows.where(is_query).withColumn(
-        "qblock", F.pmod(F.xxhash64("vec_id"), F.lit(query_blocks)).cast("int")
+        "qblock", F.pmod(F.xxhash64("row"), F.lit(query_blocks)).cast("int")
     )
     if tops.size == 0:
-        return base.sparkSession.createDataFrame([], "query_id bigint, vec_id bigint, score bigint")
+        return base.sparkSession.createDataFrame([], _FOUND)
 
     def meet(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        search = Search(left["vec_id"].to_numpy(), k, left["floor"].to_numpy())
+        search = Search(left["row"].to_numpy(), left["vec_id"].to_numpy(), k, left["floor"].to_numpy())
         if len(left) and len(right):
             right = right.sort_values(["len", "vec_id"], ascending=[False, True])
             search.visit(
                 _matrix(left["v"], width),
                 _matrix(left["r"], width),
+                right["row"].to_numpy(),
                 right["vec_id"].to_numpy(),
                 _matrix(right["v"], width),
                 _matrix(right["r"], width),
             )
         return search.rows()
 
-    found_kind = "query_id bigint, vec_id bigint, score bigint"
-
     def grid(left: DataFrame, right: DataFrame) -> DataFrame:
-        spread = right.withColumn("qblock", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
         return (
             left.groupBy("qblock", "block")
-            .cogroup(spread.groupBy("qblock", "block"))
-            .applyInPandas(meet, found_kind)
+            .cogroup(right.groupBy("qblock", "block"))
+            .applyInPandas(meet, _FOUND)
         )
 
     lowest = F.lit(float("-inf"))
     first = settle(
         grid(
-            queries.select("qblock", F.lit(0).alias("block"), "vec_id", "v", "r", lowest.alias("floor")),
-            rows.where("block = 0"),
+            queries.select(
+                "qblock", F.lit(0).alias("block"), "row", "vec_id", "v", "r", lowest.alias("floor")
+            ),
+            rows.where("block = 0").withColumn(
+                "qblock", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))
+            ),
         ),
         folder,
         "first",
     )
     floors = (
-        first.groupBy("query_id")
+        first.groupBy("query_row")
         .agg(F.count("*").alias("n"), F.min("score").alias("floor"))
         .where(F.col("n") >= k)
         # The next double below, where doubles no longer hold every whole number.
@@ -259,7 +264,7 @@ def _search(base: DataFrame, width: int, count: int, is_query, k: int, folder: s
                 F.col("floor").cast("double") - F.abs(F.col("floor").cast("double")) * 1e-15
             ),
         )
-        .select(F.col("query_id").alias("vec_id"), "floor")
+        .select(F.col("query_row").alias("row"), "floor")
     )
 
     def onward(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -270,12 +275,16 @@ def _search(base: DataFrame, width: int, count: int, is_query, k: int, folder: s
             for at in range(0, len(query), 4096):
                 out = batch.iloc[query[at : at + 4096]].copy()
                 out["block"] = other[at : at + 4096] + 1
-                yield out[["qblock", "block", "vec_id", "v", "r", "floor"]]
+                yield out[["qblock", "block", "row", "vec_id", "v", "r", "floor"]]
 
-    kind = "qblock int, block int, vec_id bigint, v binary, r binary, floor double"
-    later = (
-        queries.join(floors, "vec_id", "left")
-        .select("qblock", "vec_id", "len", "v", "r", F.coalesce("floor", lowest).alias("floor"))
-        .mapInPandas(onward, kind)
+    kind = "qblock int, block int, row bigint, vec_id bigint, v binary, r binary, floor double"
+    later = settle(
+        queries.join(floors, "row", "left")
+        .select("qblock", "row", "vec_id", "len", "v", "r", F.coalesce("floor", lowest).alias("floor"))
+        .mapInPandas(onward, kind),
+        folder,
+        "later",
     )
-    return first.unionByName(grid(later, rows.where("block > 0")))
+    # A block's rows go to the query blocks that have a query for it, and to no other.
+    cells = settle(later.select("qblock", "block").distinct(), folder, "cells")
+    return first.unionByName(grid(later, rows.join(cells, "block")))

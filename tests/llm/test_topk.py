@@ -10,20 +10,18 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 
 
 def expected(rows, k=20, every=20):
-    usable = {}
+    usable = []
     for i, vector, _ in rows:
         if i is None or vector is None or any(x is None or not math.isfinite(x) for x in vector):
             continue
-        vector = np.array(vector, np.float32).astype(float).tolist()
-        usable[i] = min(usable.get(i, vector), vector)
-    whole = {i: [math.floor(64 * x) for x in v] for i, v in usable.items()}
+        usable.append((i, [math.floor(64 * x) for x in np.array(vector, np.float32).astype(float).tolist()]))
     out = []
-    for q in whole:
+    for n, (q, whole) in enumerate(usable):
         if q % every == 0:
             found = [
-                (-sum(a * b for a, b in zip(whole[q], v, strict=True)), i)
-                for i, v in whole.items()
-                if i != q and len(v) == len(whole[q])
+                (-sum(a * b for a, b in zip(whole, v, strict=True)), i)
+                for m, (i, v) in enumerate(usable)
+                if m != n and len(v) == len(whole)
             ]
             out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(found)[:k])]
     return sorted(out)
@@ -60,6 +58,13 @@ def test_few_rows_and_odd_vectors(spark):
     assert [r[3] for r in found(spark, rows)] == [2**63 - 1, -(2**63 - 1)]
 
 
+def test_rows_that_share_an_id_are_rows_of_their_own(spark):
+    """The issue of one id with a short and a long vector: the better hit must not be lost."""
+    rows = [(0, [1.0, 0.0], 0), (5, [1.0, 0.0], 0), (5, [3.0, 0.0], 0), (7, [0.0, 1.0], 0), (0, [2.0, 0.0], 0)]
+    assert found(spark, rows) == expected(rows)
+    assert (0, 1, 5, 12288) in found(spark, rows) and (0, 1, 5, 24576) in found(spark, rows)
+
+
 def test_small_components_beside_a_huge_one(spark, monkeypatch):
     rows = [(1, [2.0**60, 0.51, -0.51], 0), (2, [0.0, 1.0, 0.0], 0), (3, [0.0, 0.0, 1.0], 0)]
     df = spark.createDataFrame(rows, SCHEMA)
