@@ -43,8 +43,17 @@ def location(spark: SparkSession, folder: str) -> str:
     return f"file://{uri[5:]}" if uri.startswith("file:/") and not uri.startswith("file://") else uri
 
 
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def plain_uri(uri: str) -> str:
+    """The address of a store as pyarrow knows it: Hadoop has other names for the same."""
+    scheme, rest = uri.split(":", 1)
+    return f"{_SCHEMES.get(scheme, scheme)}:{rest}"
+
+
 def _store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri)
+    return pyarrow.fs.FileSystem.from_uri(plain_uri(uri))
 
 
 def _one_line(value: str) -> str:

@@ -77,3 +77,8 @@ def test_whole_table(spark, sf_dir, name):
     pages = table(spark, sf_dir, name)
     rows = [(r.page_id, r.url, r.html, "") for r in pages.collect()]
     assert found(warc.archive(pages)) == expected(rows)
+
+
+def test_stores_by_the_names_that_pyarrow_knows():
+    given = ("s3a://bucket/a", "s3n://bucket/a", "s3://bucket/a", "hdfs://host/a", "file:///a")
+    assert list(map(warc.plain_uri, given)) == ["s3://bucket/a", "s3://bucket/a", "s3://bucket/a", "hdfs://host/a", "file:///a"]
