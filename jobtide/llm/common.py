@@ -68,3 +68,21 @@ def let(value: Column, body) -> Column:
     An expression named in a lambda would be worked out again for every element.
     """
     return F.transform(F.array(value), body)[0]
+
+
+_DRAWS = 1 << 30
+
+
+def copies_drawn(rows: DataFrame, keys: list[str], share: Column) -> DataFrame:
+    """``keys`` and ``weight``: how many of the equal rows of each key a sample takes.
+
+    Each row is taken with probability ``share`` (a column of ``rows``, the same for all rows of a
+    key).  The copies of a key are counted, and of n copies the whole part of n * share is taken and one more
+    as a hash of the key decides: neither the layout of the rows nor a key that is everywhere
+    changes the size of the sample, and such a key comes once, with its weight.
+    """
+    chance = F.least(share, F.lit(1.0))
+    luck = F.pmod(F.xxhash64(*keys, F.lit("drawn")), F.lit(_DRAWS)) / F.lit(float(_DRAWS))
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("copies"), F.max(chance).alias("chance"))
+    weight = F.floor(F.col("copies") * F.col("chance") + luck).cast("bigint")
+    return counted.select(*keys, weight.alias("weight")).where("weight > 0")

@@ -6,7 +6,8 @@ non-negative unbiased risk of du Plessis, Niu and others: trusted positives and
 stand in for labels, with the share of positives in the unlabelled text (the class prior)
 estimated beforehand from how the scores of a positive-against-unlabelled model are spread.
 
-Weights are fitted on bounded samples (``POSITIVE_ROWS``, ``UNLABELLED_ROWS``); bin borders, class
+Weights are fitted on bounded samples (``POSITIVE_ROWS``, ``UNLABELLED_ROWS``), which like all else
+do not depend on how the rows are laid out; bin borders, class
 prior and the border of the decision come from all rows that may be learnt from, and every document
 is scored on its whole text.
 """
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import settle, workspace
+from jobtide.llm.common import copies_drawn, settle, workspace
 from jobtide.llm.langid import id_checksum
 
 POSITIVE_ROWS = 6000  # expected sizes of the samples
@@ -30,7 +31,6 @@ STEPS = 600
 RATE = 0.05
 PENALTY = 1e-4
 THRESHOLD = 0.7
-ACCURACY = 10000  # ranks of corpus quantiles are off by a part in so many at most
 _SLICE_BYTES = 1 << 22
 _ENDS = ".,;:!?"
 _FIGURES = 21
@@ -144,14 +144,49 @@ def _prior(positive: np.ndarray, u: np.ndarray, number: int) -> float:
     return float(np.clip(ratio.min(), 0.01, 0.99))
 
 
+def fine_counts(rows: DataFrame, size: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each place of the arrays ``v``, its values to eleven binary digits and their counts.
+
+    The same for any layout of the rows; there are at most as many values as such numbers.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [Counter() for _ in range(size)]
+        for batch in batches:
+            values = np.asarray(batch.column(0).flatten()).reshape(-1, size).astype(np.float32)
+            cut = (values.view(np.uint32) & np.uint32(0xFFFFE000)).view(np.float32)
+            for j in range(size):
+                held[j].update(dict(zip(*(a.tolist() for a in np.unique(cut[:, j], return_counts=True)), strict=True)))
+        for j, counter in enumerate(held):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([j] * len(counter), pa.int32()),
+                    pa.array(list(counter), pa.float64()),
+                    pa.array(list(counter.values()), pa.int64()),
+                ],
+                ["j", "value", "n"],
+            )
+
+    summed = rows.mapInArrow(work, "j int, value double, n bigint").groupBy("j", "value").agg(F.sum("n").alias("n"))
+    found = [[] for _ in range(size)]
+    for row in summed.collect():
+        found[row["j"]].append((row["value"], row["n"]))
+    return [tuple(np.array(sorted(own)).reshape(-1, 2).T) for own in found]
+
+
+def _at_shares(values: np.ndarray, counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """The least values up to which at least these shares of the rows lie."""
+    below = np.cumsum(counts)
+    return values[np.minimum(np.searchsorted(below, shares * below[-1]), len(values) - 1)]
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, rows: DataFrame | None = None) -> Model:
     """Weights from the samples; what is a matter of the corpus from ``v`` of ``rows``, if given."""
     shares = np.linspace(0, 1, BINS + 1)[1:-1]
     if rows is None:
         edges = np.quantile(np.concatenate([positive, unlabelled]), shares, axis=0).T
     else:
-        cut = [F.percentile_approx(F.col("v")[j], shares.tolist(), ACCURACY) for j in range(_FIGURES)]
-        edges = np.array(list(rows.agg(*cut).first()))
+        edges = np.array([_at_shares(*c, shares) for c in fine_counts(rows.select("v"), _FIGURES)])
     p, u = _binned(positive, edges), _binned(unlabelled, edges)
 
     def against(sp, su):
@@ -187,8 +222,8 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, rows: DataFrame | None = N
     if rows is None:
         border = np.quantile(_sums(weights, bias, u), 1.0 - prior)
     else:
-        middle = F.percentile_approx("s", 1.0 - prior, ACCURACY)
-        border = _summed(rows, edges, [(weights, bias)]).agg(middle).first()[0]
+        sums = _summed(rows, edges, [(weights, bias)]).select(F.array("s").alias("v"))
+        border = _at_shares(*fine_counts(sums, 1)[0], np.array([1.0 - prior]))[0]
     return Model(edges, weights, bias + np.log(THRESHOLD / (1 - THRESHOLD)) - border, prior)
 
 
@@ -197,18 +232,19 @@ def scores(model: Model, values: np.ndarray) -> np.ndarray:
 
 
 def _summed(rows: DataFrame, edges: np.ndarray, models: list[tuple[np.ndarray, float]]) -> DataFrame:
-    """``s``: the sum of each row, by the models in turn."""
+    """``s``: the sum of each row, by one of the models, which its figures choose."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.asarray(batch.column(0).flatten()).reshape(-1, _FIGURES)
-            bins = _binned(values, edges)
+            bins, chosen = _binned(values, edges), batch.column(1).to_numpy()
             sums = np.empty(len(bins))
             for k, (weights, bias) in enumerate(models):
-                sums[k :: len(models)] = _sums(weights, bias, bins[k :: len(models)])
+                sums[chosen == k] = _sums(weights, bias, bins[chosen == k])
             yield pa.RecordBatch.from_arrays([pa.array(sums, pa.float64())], ["s"])
 
-    return rows.select("v").mapInArrow(work, "s double")
+    chosen = F.pmod(F.xxhash64("v"), F.lit(len(models))).cast("int").alias("chosen")
+    return rows.select("v", chosen).mapInArrow(work, "s double")
 
 
 def _measured(rows: DataFrame) -> DataFrame:
@@ -225,14 +261,30 @@ def _measured(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, v array<double>")
 
 
-def _sample(rows: DataFrame, size: int) -> np.ndarray:
+def _sample(rows: DataFrame, size: int, folder: str, name: str) -> np.ndarray:
     """The figures of about ``size`` rows, in an order of their own.
 
-    Each row is drawn by itself, so rows that share an id or a text do not come all or none.
+    Rows with the same figures are drawn as copies of one, so neither a text that is everywhere
+    nor the layout of the table changes the sample.
     """
-    share = size / max(1, rows.count())
-    drawn = rows.where(F.rand(7) < share).select("v")
-    return np.array(sorted(row["v"] for row in drawn.collect())).reshape(-1, _FIGURES)
+    share = F.lit(size / max(1, rows.count()))
+    hashed = rows.select(F.xxhash64("v").alias("own"), "v")
+    picked = settle(copies_drawn(hashed.select("own"), ["own"], share), folder, name)
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
+        for batch in batches:
+            first = []
+            for own in batch.column(0).to_pylist():
+                first.append(own not in done)
+                done.add(own)
+            yield batch.filter(pa.array(first, pa.bool_()))
+
+    met = hashed.join(picked, "own").select("own", "weight", "v")
+    met = met.mapInArrow(once, "own bigint, weight bigint, v array<double>").dropDuplicates(["own"])
+    found = sorted((row["v"], row["weight"]) for row in met.collect())
+    values = np.array([v for v, _ in found], float).reshape(-1, _FIGURES)
+    return np.repeat(values, [weight for _, weight in found], axis=0)
 
 
 def train(documents: DataFrame, labels: DataFrame, learnt: Column) -> Model:
@@ -248,8 +300,9 @@ def train(documents: DataFrame, labels: DataFrame, learnt: Column) -> Model:
     )
     folder = workspace(documents.sparkSession)
     rows = settle(_measured(texts), folder, "figures")
-    unlabelled = _sample(rows, UNLABELLED_ROWS)
-    positive = _sample(settle(rows.join(trusted, "doc_id"), folder, "positive"), POSITIVE_ROWS)
+    unlabelled = _sample(rows, UNLABELLED_ROWS, folder, "unlabelled-drawn")
+    trusted_rows = settle(rows.join(trusted, "doc_id"), folder, "positive")
+    positive = _sample(trusted_rows, POSITIVE_ROWS, folder, "positive-drawn")
     if len(positive) < 2 or len(unlabelled) < 2:
         return Model(np.zeros((_FIGURES, BINS - 1)), np.zeros((_FIGURES, BINS)), 0.0, 0.5)
     return fit(positive, unlabelled, rows)

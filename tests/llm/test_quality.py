@@ -83,3 +83,17 @@ def test_sample_stays_bounded_under_one_id(spark, monkeypatch):
     assert len(result) == len(rows)
     (positive, unlabelled), = sizes
     assert 40 < positive < 200 and 120 < unlabelled < 300
+
+
+def test_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(quality, "UNLABELLED_ROWS", 300)
+    monkeypatch.setattr(quality, "POSITIVE_ROWS", 150)
+    rows = corpus(900)
+    rows += [(i + 5000, rows[1][1], 0) for i in range(300)]  # a text that is everywhere
+    docs = spark.createDataFrame([(i, t, 0) for i, t, _ in rows], DOCS)
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows], LABELS)
+    results = [
+        sorted(map(tuple, quality.score_documents(d, labels.repartition(n)).collect()))
+        for n, d in ((2, docs.repartition(2)), (7, docs.repartition(7, "text")))
+    ]
+    assert results[0] == results[1]
