@@ -3,8 +3,9 @@
 Texts become TF-IDF vectors of hashed 1- to 3-grams of letters.  Document frequencies are counted
 over every labelled row that may be learnt from.  Weights are fitted by follow the regularized
 leader with elastic-net penalties, on a bounded sample of those rows: of each language its share of
-``SAMPLE_ROWS``, but ``LANGUAGE_ROWS`` at least, or all it has.  A fifth of the sample is held back
-to calibrate the temperature of the probabilities.
+``SAMPLE_ROWS``, but ``LANGUAGE_ROWS`` at least, or all it has.  Equal rows are drawn as copies of
+one, which counts for as many.  No more than the ``LANGUAGES`` most frequent languages are learnt.
+A fifth of the sample is held back to calibrate the temperature of the probabilities.
 """
 
 from collections import Counter
@@ -16,11 +17,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import settle, workspace
+from jobtide.llm.common import copies_drawn, settle, workspace
 
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 4000  # expected size of the sample that the weights are fitted on
 LANGUAGE_ROWS = 200  # of a language, so many are expected in the sample at least, or all
+LANGUAGES = 1000  # the most frequent languages, by name where they are as frequent
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.001
 UNKNOWN = "und"
@@ -128,7 +130,7 @@ def id_checksum(column: str) -> Column:
 
 
 def train(labelled: DataFrame, folder: str) -> Model:
-    """A model from ``text`` and ``lang``; ``draw`` (0 to 1) picks and splits the sample."""
+    """A model from ``text`` and ``lang``."""
     usable = labelled.where("lang is not null and text is not null")
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,46 +156,62 @@ def train(labelled: DataFrame, folder: str) -> Model:
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
     )
-    seen, by_language = np.zeros(BUCKETS, np.int64), {}
-    for lang, bucket, number in settle(summed, folder, "df").collect():
-        if lang is None:
-            seen[bucket] = number
-        else:
-            by_language[lang] = number
-    total = sum(by_language.values())
+    summed = settle(summed, folder, "df")
+    seen = np.zeros(BUCKETS, np.int64)
+    for bucket, number in summed.where("lang is null").select("bucket", "n").collect():
+        seen[bucket] = number
+    frequent = summed.where("lang is not null").orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    by_language = {row["lang"]: row["n"] for row in frequent.collect()}
+    total = summed.where("lang is not null").agg(F.sum("n")).first()[0] or 0
     idf = np.log((1.0 + total) / (1.0 + seen)) + 1.0
     if not total:
         return Model([], np.zeros((0, BUCKETS)), np.zeros(0), idf, 1.0)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = set()
         for batch in batches:
             rows = []
-            for text, lang, draw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                found = counts(text)
+            for text, lang, own, weight in zip(*batch.columns, strict=True):
+                key = lang.as_py(), own.as_py()
+                if key in done:
+                    continue
+                done.add(key)
+                found = counts(text.as_py())
                 if found is not None:
                     at, value = _vector(found, idf)
-                    rows.append((draw, lang, at.astype("<u2").tobytes(), value.astype("<f4").tobytes()))
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
-            kinds = [pa.float64(), pa.string(), pa.binary(), pa.binary()]
+                    rows.append((*key, weight.as_py(), at.astype("<u2").tobytes(), value.astype("<f4").tobytes()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["draw", "lang", "at", "value"],
+                ["lang", "own", "weight", "at", "value"],
             )
 
     shares = [(k, max(SAMPLE_ROWS / total, LANGUAGE_ROWS / n)) for k, n in by_language.items()]
-    picked = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
-    sample = usable.join(F.broadcast(picked), "lang").where("draw < share").select("text", "lang", "draw")
-    rows = sample.mapInArrow(features, "draw double, lang string, at binary, value binary").collect()
-    rows.sort(key=lambda r: (r["draw"], r["lang"], r["at"], r["value"]))
-    languages = sorted({r["lang"] for r in rows})
-    vectors = [
-        (np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["value"], "<f4").astype(float))
-        for r in rows
-    ]
-    targets = np.array([languages.index(r["lang"]) for r in rows], np.int64)
+    shares = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    hashed = usable.select("text", "lang", F.xxhash64("text").alias("own"))
+    narrow = hashed.select("lang", "own").join(shares, "lang")
+    picked = settle(copies_drawn(narrow, ["lang", "own"], F.col("share")), folder, "picked")
+    sample = hashed.join(picked, ["lang", "own"]).select("text", "lang", "own", "weight")
+    rows = (
+        sample.mapInArrow(features, "lang string, own bigint, weight bigint, at binary, value binary")
+        .groupBy("lang", "own")
+        .agg(F.min("weight").alias("weight"), F.min("at").alias("at"), F.min("value").alias("value"))
+        .collect()
+    )
     if not rows:
         return Model([], np.zeros((0, BUCKETS)), np.zeros(0), idf, 1.0)
-    held = np.arange(len(rows)) % 5 == 4
+    # An order of their own, whichever task they come from.
+    rows.sort(key=lambda r: (r["lang"], r["own"]))
+    languages = sorted({r["lang"] for r in rows})
+    vectors, targets, held, met = [], [], [], Counter()
+    for r in rows:
+        vector = (np.frombuffer(r["at"], "<u2").astype(np.int64), np.frombuffer(r["value"], "<f4").astype(float))
+        met[r["lang"]] += 1
+        vectors += [vector] * r["weight"]
+        targets += [languages.index(r["lang"])] * r["weight"]
+        held += [met[r["lang"]] % 5 == 0] * r["weight"]
+    targets, held = np.array(targets, np.int64), np.array(held)
     weights, bias = fit(
         [v for v, h in zip(vectors, held, strict=True) if not h], targets[~held], len(languages)
     )
@@ -239,8 +257,7 @@ def _predicted(rows: DataFrame, model: Model) -> DataFrame:
 def fitted(documents: DataFrame, folds: int = 5) -> Model:
     """The model of the rows of ``documents`` that are not held out."""
     held_out = id_checksum("doc_id") % folds == 0
-    draw = (F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)).alias("draw")
-    labelled = documents.where(~held_out).select("text", "lang", draw)
+    labelled = documents.where(~held_out).select("text", "lang")
     return train(labelled, workspace(documents.sparkSession))
 
 
@@ -258,9 +275,20 @@ def identify(documents: DataFrame, folds: int = 5) -> DataFrame:
 
 
 def known_language(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
-    """``documents`` without those in no language the model is at least so sure of."""
-    model = fitted(documents)
-    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("text").alias("text"))
-    found = _predicted(rows, model)
-    kept = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
-    return kept.select("row.*")
+    """``documents`` without those in no language the model is at least so sure of.
+
+    All columns and other rows stay, and each row goes through the workers once.
+    """
+    model = documents.sparkSession.sparkContext.broadcast(fitted(documents))
+    at = [c.lower() for c in documents.columns].index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            step = max(1, batch.num_rows * _SLICE_BYTES // max(1, batch.nbytes))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                found = [predict(model.value, t.as_py()) for t in part.column(at)]
+                sure = [lang != UNKNOWN and score >= min_score for lang, score in found]
+                yield part.filter(pa.array(sure, pa.bool_()))
+
+    return documents.mapInArrow(work, documents.schema)

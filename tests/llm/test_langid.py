@@ -107,3 +107,27 @@ def test_rare_languages_are_in_the_sample(spark, monkeypatch):
     model = langid.fitted(spark.createDataFrame(rows, SCHEMA))
     assert model.languages == ["cy", "de", "en", "es"]
     assert langid.predict(model, "gan ddim y mae wrth")[0] == "cy"
+
+
+def test_a_row_that_is_everywhere_is_learnt_and_sent_once(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 60)
+    monkeypatch.setattr(langid, "LANGUAGE_ROWS", 20)
+    english = [row for row in corpus(2400) if row[2] == "en"]
+    hot = "die und das nicht mit von zu"
+    for doc in (1, None):  # copies of one row, and of one text under many ids
+        rows = english + [(doc or 10_000 + i, hot, "de", "") for i in range(2000)]
+        df = spark.createDataFrame(rows, SCHEMA)
+        sizes = []
+        fit = langid.fit
+        monkeypatch.setattr(langid, "fit", lambda v, t, c: sizes.append(np.bincount(t).tolist()) or fit(v, t, c))
+        models = [langid.fitted(d) for d in (df.repartition(2), df.repartition(7, "text"))]
+        monkeypatch.setattr(langid, "fit", fit)
+        assert models[0].languages == ["de", "en"] and np.array_equal(models[0].weights, models[1].weights)
+        assert all(10 < n < 120 for n in sizes[0])
+        assert langid.predict(models[0], hot)[0] == "de"
+
+
+def test_no_more_languages_than_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    rows = corpus(300) + [(5000 + i, "wrth gan ddim y mae hynny yn", f"x{i}", "") for i in range(50)]
+    assert len(langid.fitted(spark.createDataFrame(rows, SCHEMA)).languages) == 2
