@@ -27,7 +27,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; ``n_chars`` follows the text."""
-    changed = pii.pseudonymized(docs).select(*docs.columns)
+    changed = pii.pseudonymized(docs, pii.session_key(spark)).select(*docs.columns)
     if "n_chars" not in docs.columns:
         return changed
     return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

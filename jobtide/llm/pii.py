@@ -6,13 +6,19 @@ hold together.  Surrogates are checked over the whole corpus: two entities never
 none is an entity that occurs; who collides draws again.
 
 A phone number, card or other number is one entity in whatever way it is punctuated, and each
-mention keeps its own punctuation.  Names are replaced word by word (``Mr Gray``, ``Paul Gray``
-share a surname), where a title shows that they are names; the title gives the gender.
+mention keeps its own punctuation; a number that fails the card checksum is no card.  The local
+part and the host of an address are entities of their own, so addresses of one host keep one.
+
+Names are replaced word by word (``Mr Gray``, ``Paul Gray`` share a surname).  A title shows that
+they are names and gives the gender of the given name, which is the first of several words.  In
+the same document their words are then replaced wherever they stand capitalised, with or without
+a title, and a word that is a given name once is one in all its mentions.
 """
 
+import secrets
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm.common import let, settle, unused, workspace
@@ -37,17 +43,40 @@ KINDS = (
     ("card", r"(?<![\p{L}\p{N}-])(?:[3-6][0-9]{3}|2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720))[ -]?(?:[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}|[0-9]{6}[ -]?[0-9]{5})(?![\p{L}\p{N}])"),
     ("phone", r"(?<![\p{L}\p{N}+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}|(?<!\()\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![\p{L}\p{N}])"),
     ("hex", r"(?<![\p{L}\p{N}])(?=[0-9a-f]*[0-9])(?=[0-9a-f]*[a-f])[0-9a-f]{32,}(?![\p{L}\p{N}])"),
-    ("name", rf"{_START}(?:{MALE}|{FEMALE})\.? +{_WORD}(?: {_WORD}){{0,2}}"),
+    ("name", rf"{_START}(?:{MALE}|{FEMALE})\.? +{_WORD}(?: {_WORD}){{0,3}}"),
 )
 _ANY = "|".join(f"(?:{pattern})" for _, pattern in KINDS)
 # Texts without these hold no mention; the search for them is cheap.
 _GATE = r"[0-9@]|(?i:key|secret|token|passw|pwd)"
 _TITLES = [*MALE.replace("Herrn?", "Herr").split("|"), *FEMALE.split("|")]
 
-# Letters that stand for the sixteen hexadecimal digits, by script.
+# Letters that stand for the sixteen hexadecimal digits, by script; of other scripts, Latin ones.
 LATIN = "abcdefghiklmnrst"
-CYRILLIC = "абвгдежзиклмнорс"
-GREEK = "αβγδεζηικλμνορστ"
+SCRIPTS = {
+    "Cyrillic": "абвгдежзиклмнорс",
+    "Greek": "αβγδεζηικλμνορστ",
+    "Hebrew": "אבגדהוזחטיכלמנסע",
+    "Arabic": "ابتجحدرزسصعفقكلم",
+    "Devanagari": "अआइउकखगचजटडतदनपम",
+    "Thai": "กขคงจชดตทนบปพมรล",
+    "Hangul": "가나다라마바사아자차카타파하고노",
+    "Hiragana": "あいうえおかきくけこさしすせそた",
+    "Katakana": "アイウエオカキクケコサシスセソタ",
+    "Han": "山川田中村木林森石原小大高西東北",
+    "Armenian": "աբգդեզէըթժիլխծկհ",
+    "Georgian": "აბგდევზთიკლმნოპჟ",
+}
+# Names are drawn from syllables and end as given names (by gender) or surnames do.
+SYLLABLES = {
+    "Latin": "ba be da do el ka la le ma mi na ra ri sa ta vi".split(),
+    "Cyrillic": "ба бо ва ви да ди ка ко ла ли ма ми на ни ра ро".split(),
+    "Greek": "βα γα δα θε κα κο λα λε μα μι να νι πα ρα σα τα".split(),
+}
+ENDINGS = {
+    "Latin": {"m": "n rd s l us rt nd ldo".split(), "f": "na la ra ssa nne lia tte ina".split(), "": "son ley man ton field well sen ner".split()},
+    "Cyrillic": {"m": "н р слав мир й м с л".split(), "f": "на ла я ра ва ия ина ета".split(), "": "енко ко ич дзе ян ых ук юк".split()},
+    "Greek": {"m": "ς νης ρης ος λης κος νος σης".split(), "f": "να λα ρα ία νη κη νια θη".split(), "": "κης δης πουλος ίδης ου άκος λου νού".split()},
+}
 _HEX = "0123456789abcdef"
 _STREAM = 128
 _ROUNDS = 64
@@ -65,7 +94,7 @@ def _entity(kind: Column, mention: Column) -> Column:
         F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(mention, "[^0-9]", ""))
         .when(kind.isin("mac", "ipv6"), F.lower(F.regexp_replace(mention, "-", ":")))
         .when(kind == "iban", F.regexp_replace(mention, " ", ""))
-        .when(kind.isin("email", "name"), F.lower(mention))
+        .when(kind.isin("host", "name"), F.lower(mention))
         .otherwise(mention)
     )
 
@@ -82,8 +111,7 @@ def _streams(seed: Column) -> Column:
         code.alias("hex"),
         F.substring(decimals, 1, _STREAM).alias("decimal"),
         F.translate(code, _HEX, LATIN).alias("latin"),
-        F.translate(code, _HEX, CYRILLIC).alias("cyrillic"),
-        F.translate(code, _HEX, GREEK).alias("greek"),
+        *[F.translate(code, _HEX, letters).alias(script) for script, letters in SCRIPTS.items()],
     )
 
 
@@ -94,12 +122,12 @@ def _alike(text: Column, streams: Column, hexadecimal: Column) -> Column:
         at = F.pmod(i, F.lit(_STREAM)) + 1
         pick = lambda name: F.substring(streams[name], at, F.lit(1))
         cased = lambda x: F.when(c == F.upper(c), F.upper(x)).otherwise(x)
+        drawn = F.when(hexadecimal & c.rlike("[0-9A-Fa-f]"), F.when(c.rlike("[A-F]"), F.upper(pick("hex"))).otherwise(pick("hex")))
+        drawn = drawn.when(c.rlike("[0-9]"), pick("decimal")).when(c.rlike(r"\p{IsLatin}"), cased(pick("latin")))
+        for script in SCRIPTS:
+            drawn = drawn.when(c.rlike(rf"\p{{Is{script}}}") & c.rlike(r"\p{L}"), cased(pick(script)))
         return (
-            F.when(hexadecimal & c.rlike("[0-9A-Fa-f]"), F.when(c.rlike("[A-F]"), F.upper(pick("hex"))).otherwise(pick("hex")))
-            .when(c.rlike("[0-9]"), pick("decimal"))
-            .when(c.rlike(r"\p{IsCyrillic}"), cased(pick("cyrillic")))
-            .when(c.rlike(r"\p{IsGreek}"), cased(pick("greek")))
-            .when(c.rlike(r"\p{L}"), cased(pick("latin")))
+            drawn.when(c.rlike(r"\p{L}"), pick("latin"))
             .when(c.rlike(r"[\p{M}\p{N}]"), F.lit(""))
             .otherwise(c)
         )
@@ -120,25 +148,40 @@ def _luhn(digits: Column) -> Column:
     return F.concat(body, F.pmod(F.lit(10) - F.pmod(total, F.lit(10)), F.lit(10)).cast("string"))
 
 
+def _name(entity: Column, gender: Column, streams: Column, attempt: Column) -> Column:
+    """A name of the script and gender; null for what is no plain word of a known script."""
+
+    def digit(i: Column) -> Column:
+        return F.conv(F.substring(streams["hex"], i + 1, F.lit(1)), 16, 10).cast("int")
+
+    # About as long, and longer the more draws were in vain.
+    count = F.least(F.greatest(F.ceil(F.length(entity) / 3), F.lit(1)), F.lit(3)) + F.floor(attempt / 4)
+    found = F.lit(None).cast("string")
+    for script, syllables in SYLLABLES.items():
+        listed = F.array(*map(F.lit, syllables))
+        stem = _stem(listed, count, digit)
+        ending = F.lit("")
+        for own, endings in ENDINGS[script].items():
+            ends = F.array(*map(F.lit, endings))
+            ending = F.when(gender == own, F.element_at(ends, F.pmod(digit(F.lit(0)), F.lit(len(endings))) + 1)).otherwise(ending)
+        found = F.when(entity.rlike(rf"^[\p{{Is{script}}}\p{{M}}]+$"), F.concat(stem, ending)).otherwise(found)
+    return found
+
+
+def _stem(listed: Column, count: Column, digit) -> Column:
+    taken = F.transform(F.sequence(F.lit(1), count.cast("int")), lambda i: F.element_at(listed, digit(i) + 1))
+    return F.array_join(taken, "")
+
+
 def _surrogate(kind: Column, entity: Column, gender: Column, key: str, attempt: Column) -> Column:
     """The surrogate that an entity draws at an attempt."""
     seed = F.concat_ws("\u0001", F.lit(key), kind, entity, gender, attempt.cast("string"))
-    domain = F.concat_ws("\u0001", F.lit(key), F.lit("domain"), F.substring_index(entity, "@", -1))
-    no = F.lit(False)
+    top = F.substring_index(entity, ".", -1)  # the last part of a host is kept
 
     def drawn(streams: Column) -> Column:
+        no = F.lit(False)
         alike = _alike(entity, streams, kind.isin("hex", "ipv6", "mac"))
-        # The host of an address stays one host; its last part is kept.
-        host = F.substring_index(entity, "@", -1)
-        top = F.substring_index(host, ".", -1)
-        stem = F.substring(host, F.lit(1), F.length(host) - F.length(top) - 1)
-        address = F.concat(
-            _alike(F.substring_index(entity, "@", 1), streams, no),
-            F.lit("@"),
-            let(_streams(domain), lambda s: _alike(stem, s, no)),
-            F.lit("."),
-            top,
-        )
+        stem = F.substring(entity, F.lit(1), F.length(entity) - F.length(top) - 1)
         # Of cards that begin with 2, only some series exist.
         prefix = F.when(entity.startswith("2"), 4).otherwise(1)
         octets = F.array_join(
@@ -150,25 +193,22 @@ def _surrogate(kind: Column, entity: Column, gender: Column, key: str, attempt:
             ),
             ".",
         )
-        ending = (
-            F.when(entity.rlike(r"\p{IsCyrillic}"), F.when(gender == "f", "а").otherwise("в"))
-            .when(entity.rlike(r"\p{IsGreek}"), F.when(gender == "f", "α").otherwise("ς"))
-            .otherwise(F.when(gender == "f", "a").otherwise("o"))
-        )
-        named = F.concat(F.substring(alike, F.lit(1), F.greatest(F.length(alike) - 1, F.lit(1))), ending)
         return (
-            F.when(kind == "email", address)
+            F.when(kind == "email", _alike(F.substring_index(entity, "@", 1), streams, no))
+            .when(kind == "host", F.concat(_alike(stem, streams, no), F.lit("."), top))
             .when(kind == "ipv4", octets)
             .when(kind == "card", _luhn(F.concat(F.substring(entity, F.lit(1), prefix), F.substring(alike, prefix + 1, F.length(alike) - prefix))))
             .when(kind == "phone", F.concat(F.substring(entity, 1, 1), F.substring(alike, F.lit(2), F.length(alike) - 1)))
             .when(kind == "iban", F.concat(F.substring(entity, 1, 2), F.substring(alike, F.lit(3), F.length(alike) - 2)))
-            .when((kind == "word") & gender.isin("m", "f"), named)
+            .when(kind == "word", F.coalesce(_name(entity, gender, streams, attempt), alike))
             .otherwise(alike)
         )
 
     drawn_once = let(_streams(seed), drawn)
     # After many collisions the form gives way: the whole hash is surely free.
-    return F.when(attempt < _ROUNDS, drawn_once).otherwise(F.concat(F.lit("x"), F.sha2(seed, 256)))
+    hashed = F.concat(F.lit("x"), F.sha2(seed, 256))
+    hashed = F.when(kind == "host", F.concat(hashed, F.lit("."), top)).otherwise(hashed)
+    return F.when(attempt < _ROUNDS, drawn_once).otherwise(hashed)
 
 
 def draw_surrogates(entities: DataFrame, key: str, folder: str) -> DataFrame:
@@ -220,6 +260,15 @@ def _parts(mentions: DataFrame) -> DataFrame:
         F.struct(F.lit(0).alias("i"), F.lit(None).cast("string").alias("kind"), label.alias("part"), F.lit("").alias("gender")),
         F.struct(F.lit(1).alias("i"), F.lit("secret").alias("kind"), F.substring("mention", F.length(label) + 1, F.length("mention")).alias("part"), F.lit("").alias("gender")),
     )
+    email = F.array(
+        F.struct(F.lit(0).alias("i"), F.lit("email").alias("kind"), F.substring_index("mention", "@", 1).alias("part"), F.lit("").alias("gender")),
+        F.struct(F.lit(1).alias("i"), F.lit(None).cast("string").alias("kind"), F.lit("@").alias("part"), F.lit("").alias("gender")),
+        F.struct(F.lit(2).alias("i"), F.lit("host").alias("kind"), F.substring_index("mention", "@", -1).alias("part"), F.lit("").alias("gender")),
+    )
+    digits = F.regexp_replace("mention", "[^0-9]", "")
+    no_card = F.array(
+        F.struct(F.lit(0).alias("i"), F.lit(None).cast("string").alias("kind"), F.col("mention").alias("part"), F.lit("").alias("gender"))
+    )
     names = F.transform(
         name,
         lambda w, i: F.struct(
@@ -230,8 +279,15 @@ def _parts(mentions: DataFrame) -> DataFrame:
             F.when((i == 1) & (F.size(name) > 2), gender).otherwise("").alias("gender"),
         ),
     )
-    cut = F.when(F.col("kind") == "name", names).when(F.col("kind") == "secret", secret).otherwise(whole)
-    return mentions.select("doc_id", "text_hash", "at", F.inline(cut)).select(
+    kind = F.col("kind")
+    cut = (
+        F.when(kind == "name", names)
+        .when(kind == "secret", secret)
+        .when(kind == "email", email)
+        .when((kind == "card") & (_luhn(digits) != digits), no_card)
+        .otherwise(whole)
+    )
+    return mentions.select("doc_id", "text_hash", "at", "mention", F.inline(cut)).select(
         "doc_id",
         "text_hash",
         "at",
@@ -239,9 +295,31 @@ def _parts(mentions: DataFrame) -> DataFrame:
         "part",
         "kind",
         "gender",
-        F.when(
-            F.col("kind") == "word", F.lower(F.trim("part"))
-        ).otherwise(_entity(F.col("kind"), F.col("part"))).alias("entity"),
+        F.when(F.col("kind") == "word", F.lower(F.trim("part")))
+        .when(F.col("kind") == "email", F.lower("mention"))
+        .otherwise(_entity(F.col("kind"), F.col("part")))
+        .alias("entity"),
+    )
+
+
+def _by_person(parts: DataFrame) -> DataFrame:
+    """``parts`` where a word that is a given name in its document has that gender throughout."""
+    given = (
+        parts.where("kind = 'word' and gender <> ''")
+        .groupBy(
+            F.col("doc_id").alias("given_id"), F.col("text_hash").alias("given_hash"), F.col("entity").alias("given")
+        )
+        .agg(F.min("gender").alias("given_gender"))
+    )
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("given_id"))
+        & (F.col("text_hash") == F.col("given_hash"))
+        & (F.col("entity") == F.col("given"))
+        & (F.col("kind") == "word")
+    )
+    gender = F.coalesce("given_gender", "gender").alias("gender")
+    return parts.join(given, same, "left").select(
+        "doc_id", "text_hash", "at", "part_at", "part", "kind", gender, "entity"
     )
 
 
@@ -266,42 +344,79 @@ def _written(kind: Column, part: Column, surrogate: Column) -> Column:
         ),
     )
     blank = F.when(F.endswith(part, F.lit(" ")), " ").otherwise("")
-    upper = F.trim(part) == F.upper(F.trim(part))
-    cased = F.when(upper & (F.length(F.trim(part)) > 1), F.upper(surrogate)).otherwise(
-        F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.length(surrogate)))
-    )
+    cased = _as_name(F.trim(part), surrogate)
     fits = F.length(digits) == F.length(F.regexp_replace(part, "[^0-9A-Za-z]", ""))
     return (
         F.when(kind.isNull(), part)
         .when(kind == "word", F.concat(cased, blank))
         .when(kind.isin("phone", "card", "ssn", "iban", "mac") & fits, punctuated)
-        .when((kind == "email") & (part == F.upper(part)), F.upper(surrogate))
+        .when(kind.isin("email", "host") & (part == F.upper(part)) & (part != F.lower(part)), F.upper(surrogate))
         .otherwise(surrogate)
     )
 
 
+def _as_name(word: Column, surrogate: Column) -> Column:
+    """The surrogate in capitals or with one, as the word it stands for."""
+    upper = (word == F.upper(word)) & (F.length(word) > 1)
+    capital = F.concat(F.upper(F.substring(surrogate, 1, 1)), F.substring(surrogate, F.lit(2), F.length(surrogate)))
+    return F.when(upper, F.upper(surrogate)).otherwise(capital)
+
+
+def _renamed(gap: Column, names: Column) -> Column:
+    """Text between mentions with its capitalised words replaced where ``names`` has them."""
+    word = _START + _WORD
+
+    def swapped(words: Column) -> Column:
+        between = F.split(gap, word, -1)
+
+        def new(w: Column) -> Column:
+            # A word joined to others, as in GRAY'S, where the whole is no name.
+            head = F.regexp_extract(w, r"^[\p{L}\p{M}]+", 0)
+            tail = F.substring(w, F.length(head) + 1, F.length(w))
+            whole = _as_name(w, F.try_element_at(names, F.lower(w)))
+            part = F.concat(_as_name(head, F.try_element_at(names, F.lower(head))), tail)
+            return F.coalesce(whole, part, w, F.lit(""))
+
+        return F.array_join(F.transform(between, lambda x, i: F.concat(x, new(F.get(words, i)))), "")
+
+    return let(F.regexp_extract_all(gap, F.lit(word), F.lit(0)), swapped)
+
+
 def _suspect(text: Column) -> Column:
     """Whether a text may hold a mention: cheap tests, then the patterns."""
     titled = reduce(lambda a, b: a | b, [F.contains(text, F.lit(t)) for t in _TITLES])
     return F.coalesce((text.rlike(_GATE) | titled) & text.rlike(_ANY), F.lit(False))
 
 
-def replacements(documents: DataFrame, key: str = "jobtide", folder: str | None = None) -> DataFrame:
-    """``doc_id, text_hash, n_entities, kinds, surrogates``: what replaces each mention, in order.
+def session_key(spark: SparkSession) -> str:
+    """The key that the session names in ``spark.jobtide.pii.key``; if none, one drawn for it.
+
+    Who has the key can work out which surrogate stands for whom, so there is no other default.
+    """
+    key = spark.conf.get("spark.jobtide.pii.key", None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set("spark.jobtide.pii.key", key)
+    return key
+
+
+def replacements(documents: DataFrame, key: str, folder: str | None = None) -> DataFrame:
+    """``doc_id, text_hash, n_entities, kinds, surrogates, names``: what replaces each mention, in order.
 
-    One row for each distinct (``doc_id``, text) that holds a mention.
+    One row for each distinct (``doc_id``, text) that may hold a mention; ``names`` maps the words of
+    its persons' names to theirs.
     """
     folder = folder or workspace(documents.sparkSession)
     texts = documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     found = _parts(_mentions(texts.where(_suspect(F.col("text")))))
-    parts = settle(found, folder, "parts")
+    parts = settle(_by_person(settle(found, folder, "found-parts")), folder, "parts")
     named = parts.where("kind is not null")
     surrogates = settle(draw_surrogates(named, key, folder), folder, "surrogates")
     # Few entities or many: Spark picks the join, and splits the rows of one that is everywhere.
     drawn = parts.join(surrogates, ["kind", "entity", "gender"], "left")
     written = _written(F.col("kind"), F.col("part"), F.col("surrogate"))
     pieces = settle(
-        drawn.select("doc_id", "text_hash", "at", "part_at", "kind", written.alias("piece")),
+        drawn.select("doc_id", "text_hash", "at", "part_at", "kind", "entity", "surrogate", written.alias("piece")),
         folder,
         "pieces",
     )
@@ -309,30 +424,43 @@ def replacements(documents: DataFrame, key: str = "jobtide", folder: str | None
         pieces.groupBy("doc_id", "text_hash", "at")
         .agg(
             F.array_sort(F.collect_set(F.struct("part_at", "piece"))).alias("pieces"),
-            F.max(F.when(F.col("kind") == "word", "name").otherwise(F.col("kind"))).alias("kind"),
+            F.max(F.when(F.col("kind") == "word", "name").when(F.col("kind") != "host", F.col("kind"))).alias("kind"),
         )
         .select("doc_id", "text_hash", "at", "kind", F.array_join("pieces.piece", "").alias("piece"))
     )
-    return mentions.groupBy("doc_id", "text_hash").agg(
-        F.count("*").alias("n_entities"),
+    names = (
+        pieces.where("kind = 'word'")
+        .groupBy(F.col("doc_id").alias("named_id"), F.col("text_hash").alias("named_hash"))
+        .agg(F.map_from_entries(F.sort_array(F.collect_set(F.struct("entity", "surrogate")))).alias("names"))
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("named_id")) & (F.col("text_hash") == F.col("named_hash"))
+    listed = mentions.groupBy("doc_id", "text_hash").agg(
+        F.count("kind").alias("n_entities"),
         F.array_join(F.sort_array(F.collect_set("kind")), ",").alias("kinds"),
         F.sort_array(F.collect_list(F.struct("at", "piece")))["piece"].alias("surrogates"),
     )
+    none = F.create_map().cast("map<string,string>")
+    return listed.join(names, same, "left").select(
+        "doc_id", "text_hash", "n_entities", "kinds", "surrogates", F.coalesce("names", none).alias("names")
+    )
 
 
-def pseudonymized(documents: DataFrame, key: str = "jobtide") -> DataFrame:
+def pseudonymized(documents: DataFrame, key: str) -> DataFrame:
     """``documents`` with surrogates in ``text``, and ``n_entities``, ``kinds`` added at the end.
 
     Needs ``doc_id`` and ``text``; all columns and rows stay, repeated ones too, and a null id is
     an id like any other.  Null and empty texts, and texts without a mention, stay as they are
-    with 0 entities and empty kinds; these texts are not shuffled.
+    with 0 entities and empty kinds; these texts are not shuffled.  Names that follow one with a
+    title are replaced like it but not counted.  Who has ``key`` can link surrogates to entities.
     """
+    if not key:
+        raise ValueError("surrogates need a key")
     folder = workspace(documents.sparkSession)
     found = settle(replacements(documents, key, folder), folder, "replaced")
-    hash_, id_, text_, count_, kinds_, list_ = unused(
-        documents, "own_hash", "found_id", "found_hash", "n_entities", "kinds", "surrogates"
+    hash_, id_, text_, count_, kinds_, list_, names_ = unused(
+        documents, "own_hash", "found_id", "found_hash", "n_entities", "kinds", "surrogates", "names"
     )
-    found = found.toDF(id_, text_, count_, kinds_, list_)
+    found = found.toDF(id_, text_, count_, kinds_, list_, names_)
     suspect = _suspect(F.col("text"))
     none = [F.lit(0).cast("bigint").alias(count_), F.lit("").alias(kinds_)]
     clean = documents.where(~suspect).select("*", *none)
@@ -344,7 +472,11 @@ def pseudonymized(documents: DataFrame, key: str = "jobtide") -> DataFrame:
         lambda g: F.array_join(
             F.flatten(
                 F.transform(
-                    g, lambda gap, i: F.array(gap, F.coalesce(F.get(F.col(list_), i), F.lit("")))
+                    g,
+                    lambda gap, i: F.array(
+                        F.when(F.size(F.col(names_)) > 0, _renamed(gap, F.col(names_))).otherwise(gap),
+                        F.coalesce(F.get(F.col(list_), i), F.lit("")),
+                    ),
                 )
             ),
             "",

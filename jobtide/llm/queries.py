@@ -106,7 +106,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    changed = pii.pseudonymized(table(spark, sf_dir, "documents"))
+    changed = pii.pseudonymized(table(spark, sf_dir, "documents"), pii.session_key(spark))
     return changed.select("doc_id", "text", "n_entities", "kinds")
 
 
