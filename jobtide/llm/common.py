@@ -86,3 +86,31 @@ def copies_drawn(rows: DataFrame, keys: list[str], share: Column) -> DataFrame:
     counted = rows.groupBy(*keys).agg(F.count("*").alias("copies"), F.max(chance).alias("chance"))
     weight = F.floor(F.col("copies") * F.col("chance") + luck).cast("bigint")
     return counted.select(*keys, weight.alias("weight")).where("weight > 0")
+
+
+# Rows of an id and a hash that are sent to every task; the bits that stand for more of them.
+SENT_ROWS = 1 << 20
+_SIEVE_BITS = 1 << 26
+
+
+def without(documents: DataFrame, gone: DataFrame) -> DataFrame:
+    """``documents`` less the rows whose id and text hash are in ``gone``.
+
+    ``gone`` has these as its two columns, is written and has other names than ``documents``.  Up
+    to ``SENT_ROWS`` of them go to where the texts are.  Of more only a table of bits goes there, which
+    is no larger; it lets the texts stay that are surely kept, and the others are moved.
+    """
+    id_name, hash_name = gone.columns
+    (own,) = unused(documents, "text_hash")
+    same = F.col("doc_id").eqNullSafe(F.col(id_name)) & (F.col(own) == F.col(hash_name))
+    hashed = documents.withColumn(own, F.xxhash64("text"))
+    if gone.count() <= SENT_ROWS:
+        return hashed.join(F.broadcast(gone), same, "left_anti").select(*documents.columns)
+    word, bits = unused(hashed, "word", "bits")
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(_SIEVE_BITS))
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("bigint"), (place(c) % 64).cast("int"))
+    sieve = gone.groupBy(F.floor(place(F.col(hash_name)) / 64).alias(word)).agg(F.bit_or(bit(F.col(hash_name))).alias(bits))
+    marked = hashed.join(F.broadcast(sieve), F.floor(place(F.col(own)) / 64) == F.col(word), "left")
+    maybe = F.coalesce(F.col(bits).bitwiseAND(bit(F.col(own))) != 0, F.lit(False))
+    stay = marked.where(~maybe).select(*documents.columns)
+    return stay.unionByName(marked.where(maybe).join(gone, same, "left_anti").select(*documents.columns))

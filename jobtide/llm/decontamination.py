@@ -13,7 +13,7 @@ benchmark only the lengths of items under ``SPAN`` words (at most nine numbers).
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import let, lower_ascii, settle, steps, unused, workspace
+from jobtide.llm.common import let, lower_ascii, settle, steps, unused, without, workspace
 
 SPAN = 10
 GRAM = 6
@@ -290,13 +290,13 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without the contaminated ones; all its columns and other rows stay."""
-    hash_name, id_name, text_name = unused(documents, "text_hash", "bad_id", "bad_hash")
-    bad = (
+    id_name, text_name = unused(documents, "bad_id", "bad_hash")
+    bad = settle(
         contamination(documents, benchmark)
         .where("contaminated")
         .select(F.col("doc_id").alias(id_name), F.col("text_hash").alias(text_name))
-        .distinct()
+        .distinct(),
+        workspace(documents.sparkSession),
+        "bad",
     )
-    hashed = documents.withColumn(hash_name, F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col(id_name)) & (F.col(hash_name) == F.col(text_name))
-    return hashed.join(bad, same, "left_anti").select(*documents.columns)
+    return without(documents, bad)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import settle, unused, workspace
+from jobtide.llm.common import settle, unused, without, workspace
 from jobtide.llm.components import components
 
 WORDS = 4
@@ -41,7 +41,7 @@ BLOCK_TOKENS = 1 << 20
 RANGE_TOKENS = 1 << 19
 _COLUMNS = 4096
 _MASK = (1 << 64) - 1
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 200_000
 
 
 class _Words(dict):
@@ -471,37 +471,36 @@ def one_of_each(
     similar texts share the smallest id, each distinct one of them stays once; groups of which no
     row has an id stay whole but for repeated texts.
     """
+    folder = workspace(documents.sparkSession)
     found = settle(
-        similar_documents(documents, words, num, den).where("n_shingles > 0"),
-        workspace(documents.sparkSession),
-        "similar",
+        similar_documents(documents, words, num, den).where("n_shingles > 0"), folder, "similar"
     )
     id_name, hash_name, own = unused(documents, "other_id", "other_hash", "text_hash")
     # An id and its text: the same id may stand for other texts, too.
-    extra = (
+    extra = settle(
         found.where("component_id is not null and (doc_id is null or doc_id <> component_id)")
         .select(F.col("doc_id").alias(id_name), F.col("text_hash").alias(hash_name))
-        .distinct()
+        .distinct(),
+        folder,
+        "extra",
     )
-    same_id = F.col("doc_id").eqNullSafe(F.col(id_name))
-    same = same_id & (F.col(own) == F.col(hash_name))
-    hashed = documents.withColumn(own, F.xxhash64("text"))
-    kept = hashed.join(extra, same, "left_anti")
+    kept = without(documents, extra)
     # Rows that repeat an id and its set are copies as well; the texts of others are not moved.
     repeated = settle(
         found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(
-            F.col("doc_id").alias(id_name)
+            F.col("doc_id").alias(id_name), F.lit(True).alias(hash_name)
         ),
-        workspace(documents.sparkSession),
+        folder,
         "repeated",
     )
     if repeated.isEmpty():
-        return kept.select(*documents.columns)
-    again = kept.join(repeated, same_id, "left_semi")
+        return kept
     has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    again = F.col(hash_name).isNotNull() & has_words
+    marked = kept.withColumn(own, F.xxhash64("text"))
+    marked = marked.join(repeated, F.col("doc_id").eqNullSafe(F.col(id_name)), "left")
     return (
-        kept.join(repeated, same_id, "left_anti")
-        .unionByName(again.where(~has_words))
-        .unionByName(again.where(has_words).dropDuplicates(["doc_id", own]))
+        marked.where(~again)
+        .unionByName(marked.where(again).dropDuplicates(["doc_id", own]))
         .select(*documents.columns)
     )

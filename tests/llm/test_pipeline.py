@@ -5,11 +5,12 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
 
 import corpus_pipeline  # noqa: E402
-from jobtide.llm import decontamination, jaccard, queries  # noqa: E402
+from jobtide.llm import common, decontamination, jaccard, queries  # noqa: E402
 from jobtide.llm.common import table, workspace  # noqa: E402
 
 TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -64,6 +65,23 @@ def test_stages_one_by_one(spark, sf_dir):
 
 
 
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_rows_are_taken_away_without_moving_texts(spark, sent, monkeypatch):
+    monkeypatch.setattr(common, "SENT_ROWS", sent)
+    monkeypatch.setattr(common, "_SIEVE_BITS", 128)
+    rows = [(i if i % 7 else None, f"text {i % 50}", i) for i in range(300)] + [(3, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, word int")
+    chosen = docs.where("word % 3 = 0 and text is not null")
+    gone = common.settle(chosen.select(F.col("doc_id").alias("a"), F.xxhash64("text").alias("b")).distinct(), workspace(spark), "gone")
+    lost = {(r.doc_id, r.text) for r in chosen.collect()}
+    out = common.without(docs, gone)
+    assert out.columns == docs.columns
+    key = lambda r: (str(r[0]), str(r[1]), r[2])
+    assert sorted(map(tuple, out.collect()), key=key) == sorted((r for r in rows if (r[0], r[1]) not in lost), key=key)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and (sent == 0 or "Exchange hashpartitioning" not in plan)
+
+
 def test_near_copies_below_the_contract_of_op7(spark, sf_dir):
     """0.8 of five-word shingles: a passage appended to a copy takes it below 0.85."""
     base = [f"w{i}" for i in range(104)]  # 100 shingles of five words
