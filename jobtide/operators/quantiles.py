@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 
 SLICES = 4096
+# How often a crowded cell is cut again; each time by the least and most of what it holds.
+CUTS = 2
 
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -34,10 +36,12 @@ def exact_quantiles(
 
     Rows collapse into counts per distinct value before anything else.  A coarse
     pass adds up buckets of values about one percent wide (under 150,000 cover
-    all doubles) and finds those that hold a wanted rank.  A second pass does the
-    same for ``SLICES`` even slices of each such bucket, and only the slices that
-    hold a rank are ordered value by value.  So a task sees the buckets of a group,
-    the slices of a bucket or the values of a slice, never a group.
+    all doubles) and finds those that hold a wanted rank.  Each of ``CUTS`` further
+    passes does the same for ``SLICES`` even slices of what is left, between the
+    least and the most value there, and only the last slices that hold a rank are
+    ordered value by value.  So a task sees the buckets of a group, the slices of a
+    cell or the values of a last slice, never a group, and values that crowd in one
+    slice are spread by the next cut.
 
     The joins are null-safe throughout, so that no filter is inferred for one side
     only and Spark can reuse a shuffle.
@@ -86,29 +90,40 @@ def exact_quantiles(
     holding = buckets.where(F.col("_bucket").isNull() | holds_rank("_before", "_end")).drop(
         "_end", "_held"
     )
-    width = F.col("_most") - F.col("_least")
-    place = F.floor((F.col("_value") - F.col("_least")) / width * SLICES)
-    sliced = joined(counts, holding, [*keys, "_bucket"]).withColumn(
-        "_slice", F.when(width > 0, place).otherwise(0)
-    )
-    in_group = [*keys, "_bucket"]
-    slices = (
-        sliced.groupBy(*in_group, "_slice")
-        .agg(F.sum("n").alias("_held"), F.max("_before").alias("_base"), F.max("_valued").alias("_valued"))
-        .withColumn(
-            "_slice_end",
-            F.col("_base") + F.sum("_held").over(W.partitionBy(*in_group).orderBy("_slice")),
+
+    def cut(rows: DataFrame, cell: list[str], name: str) -> DataFrame:
+        """``rows`` of the slices of their cells that hold a wanted rank."""
+        width = F.col("_most") - F.col("_least")
+        place = F.floor((F.col("_value") - F.col("_least")) / width * SLICES)
+        sliced = rows.withColumn(name, F.when(width > 0, place).otherwise(0))
+        slices = (
+            sliced.groupBy(*cell, name)
+            .agg(
+                F.sum("n").alias("_held"),
+                F.max("_before").alias("_base"),
+                F.max("_valued").alias("_valued"),
+                F.min("_value").alias("_first"),
+                F.max("_value").alias("_last"),
+            )
+            .withColumn(
+                "_end", F.col("_base") + F.sum("_held").over(W.partitionBy(*cell).orderBy(name))
+            )
+            .withColumn("_start", F.col("_end") - F.col("_held"))
+            .where(F.col("_bucket").isNull() | holds_rank("_start", "_end"))
+            .select(*cell, name, "_start", "_first", "_last")
         )
-        .withColumn("_slice_before", F.col("_slice_end") - F.col("_held"))
-        .where(F.col("_bucket").isNull() | holds_rank("_slice_before", "_slice_end"))
-        .select(*in_group, "_slice", "_slice_before")
-    )
-    in_slice = W.partitionBy(*in_group, "_slice").orderBy("_value")
-    ranked = (
-        joined(sliced, slices, [*in_group, "_slice"])
-        .withColumn("_end", F.col("_slice_before") + F.sum("n").over(in_slice))
-        .withColumn("_start", F.col("_end") - F.col("n"))
-    )
+        return joined(sliced.drop("_before", "_least", "_most"), slices, [*cell, name]).withColumnsRenamed(
+            {"_start": "_before", "_first": "_least", "_last": "_most"}
+        )
+
+    cell = [*keys, "_bucket"]
+    ranked = joined(counts, holding, cell)
+    for name in [*(f"_part_{number}" for number in range(1, CUTS)), "_slice"]:
+        ranked = cut(ranked, cell, name)
+        cell = [*cell, name]
+    ranked = ranked.withColumn(
+        "_end", F.col("_before") + F.sum("n").over(W.partitionBy(*cell).orderBy("_value"))
+    ).withColumn("_start", F.col("_end") - F.col("n"))
 
     def value_at(position: Column) -> Column:
         inside = (F.col("_start") <= position) & (position < F.col("_end"))

@@ -81,20 +81,6 @@ class Relations:
             }
         ).select(*RAW.names)
 
-    def relations(self) -> dict[str, DataFrame]:
-        """All relations that checks read, none of them written."""
-        fct = self.fct
-        mentions = marts.fct_skill_mentions(fct, self.taxonomy)
-        return {
-            "raw_job_postings": self.raw,
-            "stg_jobs": self.stg,
-            "skill_taxonomy": self.taxonomy,
-            "fct_job_postings": fct,
-            "fct_skill_mentions": mentions,
-            "agg_skill_demand": marts.agg_skill_demand(mentions, fct),
-            "agg_skill_by_snapshot": self.trend,
-        }
-
 
 @dataclass(frozen=True)
 class Query:
@@ -457,16 +443,25 @@ FROM ({union}) c""",
     )
 
 
+def _written(r: Relations) -> dict[str, DataFrame]:
+    """All relations that checks read, as a build leaves them: raw table and marts are written."""
+    folder = scratch_folder(r.spark)
+    upsert_snapshot(r.stored_batch, f"{folder}/raw")
+    raw = read_raw(r.spark, f"{folder}/raw")
+    built = build.build_marts(raw, r.taxonomy, f"{folder}/marts")
+    return {"raw_job_postings": raw, "skill_taxonomy": r.taxonomy, **build.views(raw), **built}
+
+
 @query(_summary_sql(_CHECKED.__getitem__))
 def dq_summary(r: Relations) -> DataFrame:
-    """All 25 checks."""
-    return quality.summary(r.relations())
+    """All 25 checks, on written marts."""
+    return quality.summary(_written(r))
 
 
 @query(_summary_sql(_planted_sql))
 def dq_summary_planted(r: Relations) -> DataFrame:
     """All 25 checks where each has something to find."""
-    relations = r.relations()
+    relations = _written(r)
     planted = {name: _planted(name, relations[name]) for name in _CHECKED}
     return quality.summary(relations | planted)
 

@@ -286,3 +286,22 @@ def test_quantiles_order_no_crowded_bucket_in_one_task(spark):
     # Values are only ever ordered within a slice.
     windows = [line for line in text.splitlines() if "windowspecdefinition" in line and "_value#" in line]
     assert windows and all("_slice#" in line for line in windows if "_value#" in line)
+
+
+def test_quantiles_of_a_crowd_beside_an_outlier(spark):
+    """Nearly all values in one slice of the first cut: no task orders more than a few thousand."""
+    df = spark.range(200_000).select((F.lit(1_000_000.0) + F.col("id") * 5e-6).alias("v"))
+    df = df.unionByName(spark.createDataFrame([(1_004_000.0,)], "v double"))
+    values = np.append(1_000_000.0 + np.arange(200_000) * 5e-6, 1_004_000.0)
+    found = exact_quantiles(df, [], "v", {"median": 0.5, "p99": 0.99})
+    row = found.first()
+    assert row["median"] == pytest.approx(np.quantile(values, 0.5), rel=1e-15)
+    assert row["p99"] == pytest.approx(np.quantile(values, 0.99), rel=1e-15)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "_part_1#" in plan and "_slice#" in plan
+    # What reaches the ordering by value.
+    least, most = values.min(), values.max()
+    first = np.floor((values - least) / (most - least) * 4096)
+    held = values[first == first[100_000]]
+    second = np.floor((held - held.min()) / (held.max() - held.min()) * 4096)
+    assert len(held) > 100_000 and np.bincount(second.astype(int)).max() < 5000
