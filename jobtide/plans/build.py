@@ -1,14 +1,18 @@
 """The model build: raw postings to published marts, checks included."""
 
+import logging
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from jobtide.plans import marts, quality, staging
 from jobtide.schemas import MARTS
 from jobtide.sources.published import announce, current_folder, new_version, version_folder
 from jobtide.sources.tables import read_mart, read_raw, write_mart
 
+log = logging.getLogger(__name__)
+
 AUDIT = "check_name string, severity string, n_failed bigint, status string"
 
 
@@ -72,15 +76,29 @@ def publish(
     return rows
 
 
+def require_fresh(raw: DataFrame, now: datetime) -> Row:
+    """The age of the newest row as of ``now``; too old a table raises, an old one is reported."""
+    found = quality.freshness(raw, now).first()
+    if found.status == quality.ERROR:
+        raise quality.QualityError(f"the raw table was last loaded at {found.max_loaded_at}")
+    if found.status == quality.WARN:
+        log.warning("the raw table was last loaded at %s", found.max_loaded_at)
+    return found
+
+
 def build(
     spark: SparkSession,
     table: str,
     taxonomy: DataFrame,
     root: str,
     checks: Sequence[quality.Check] = quality.CHECKS,
+    now: datetime | None = None,
 ) -> list:
-    """Publish the marts of the stored raw table."""
-    return publish(read_raw(spark, table), taxonomy, root, checks)
+    """Publish the marts of the stored raw table; with ``now``, only of one that is fresh."""
+    raw = read_raw(spark, table)
+    if now is not None:
+        require_fresh(raw, now)
+    return publish(raw, taxonomy, root, checks)
 
 
 def published_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:

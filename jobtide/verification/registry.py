@@ -14,7 +14,13 @@ from jobtide.plans import build, incremental, ingest, marts, quality, reports, s
 from jobtide.schemas import RAW
 from jobtide.sources import boards
 from jobtide.sources.payloads import read_pages
-from jobtide.sources.tables import archive_snapshot, read_raw, scratch_folder, upsert_snapshot
+from jobtide.sources.tables import (
+    archive_snapshot,
+    ensure_raw_table,
+    read_raw,
+    scratch_folder,
+    upsert_snapshot,
+)
 from jobtide.sources.taxonomy import default_skills, default_taxonomy
 from jobtide.verification import oracles as O
 from jobtide.verification import payloads
@@ -692,6 +698,19 @@ def snapshot_upsert(r: Relations) -> DataFrame:
     return _unzoned(read_raw(r.spark, path))
 
 
+@query(O.over(("raw",), f"SELECT {_STORED} FROM raw"))
+def raw_table_by_name(r: Relations) -> DataFrame:
+    """The raw table under a name, with partitions that came after the name."""
+    folder = scratch_folder(r.spark)
+    name = f"raw_{folder.rsplit('-', 1)[1]}"
+    batch = r.stored_batch
+    upsert_snapshot(batch.where("snapshot_date <= '2026-01-19'"), f"{folder}/raw")
+    ensure_raw_table(r.spark, name, f"{folder}/raw")
+    upsert_snapshot(batch.where("snapshot_date > '2026-01-19'"), f"{folder}/raw")
+    ensure_raw_table(r.spark, name, f"{folder}/raw")
+    return _unzoned(r.spark.table(name)).select(*RAW.names)
+
+
 @query(
     O.over(
         ("raw",),

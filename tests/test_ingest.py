@@ -4,6 +4,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from jobtide.plans.quality import QualityError
 from jobtide.plans import build, ingest, reports
 from jobtide.schemas import RAW
 from jobtide.sources.tables import ensure_raw_table, read_raw
@@ -240,8 +241,10 @@ def test_build(store, spark, tmp_path):
     store.run("2026-09-07")
     store.run("2026-09-14", datetime(2026, 9, 14, 9, tzinfo=timezone.utc))
     taxonomy, root = default_taxonomy(spark), str(tmp_path / "marts")
+    with pytest.raises(QualityError, match="last loaded"):
+        build.build(spark, store.table, taxonomy, root, now=datetime(2026, 10, 14, tzinfo=timezone.utc))
     for _ in range(2):
-        outcome = build.build(spark, store.table, taxonomy, root)
+        outcome = build.build(spark, store.table, taxonomy, root, now=datetime(2026, 9, 24, 9))
     assert len(outcome) == 25
     assert {row.status for row in outcome} == {"pass"}
     build.open_views(spark, store.table, taxonomy, root)
