@@ -190,9 +190,10 @@ def train(labelled: DataFrame, folder: str) -> Model:
     shares = [(k, max(SAMPLE_ROWS / total, LANGUAGE_ROWS / n)) for k, n in by_language.items()]
     shares = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
     hashed = usable.select("text", "lang", F.xxhash64("text").alias("own"))
-    narrow = hashed.select("lang", "own").join(shares, "lang")
+    # Both small sides are bounded: by ``LANGUAGES``, and by the sample.
+    narrow = hashed.select("lang", "own").join(F.broadcast(shares), "lang")
     picked = settle(copies_drawn(narrow, ["lang", "own"], F.col("share")), folder, "picked")
-    sample = hashed.join(picked, ["lang", "own"]).select("text", "lang", "own", "weight")
+    sample = hashed.join(F.broadcast(picked), ["lang", "own"]).select("text", "lang", "own", "weight")
     rows = (
         sample.mapInArrow(features, "lang string, own bigint, weight bigint, at binary, value binary")
         .groupBy("lang", "own")

@@ -280,7 +280,8 @@ def _sample(rows: DataFrame, size: int, folder: str, name: str) -> np.ndarray:
                 done.add(own)
             yield batch.filter(pa.array(first, pa.bool_()))
 
-    met = hashed.join(picked, "own").select("own", "weight", "v")
+    # About ``size`` rows at most.
+    met = hashed.join(F.broadcast(picked), "own").select("own", "weight", "v")
     met = met.mapInArrow(once, "own bigint, weight bigint, v array<double>").dropDuplicates(["own"])
     found = sorted((row["v"], row["weight"]) for row in met.collect())
     values = np.array([v for v, _ in found], float).reshape(-1, _FIGURES)
