@@ -1,11 +1,11 @@
 """Text expressions shared by the normalizers."""
 
 import html
+import json
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from jobtide import fixed_values as V
 
@@ -47,19 +47,86 @@ def split_list(text: Column) -> Column:
     return F.split(text, V.LIST_SEPARATOR, -1)
 
 
+# A reference as Python reads it: by number, or by a name of up to 32 characters.
+_REFERENCE = r"&(?:#[0-9]++;?|#[xX][0-9a-fA-F]++;?|[^\t\n\f <&#;]{1,32}+;?)"
+# Names that texts are full of.
+_USUAL = ("nbsp;", "quot;", "gt;", "lt;", "amp;")
+_REPLACEMENT = "\ufffd"
+_LAST = 0x10FFFF
+
+
+def _odd_numbers() -> dict[int, str]:
+    """Numbers that do not stand for the character of that number, and what they stand for."""
+    noncharacters = [plane * 0x10000 + low for plane in range(17) for low in (0xFFFE, 0xFFFF)]
+    asked = [*range(0xA0), *range(0xFDD0, 0xFDF0), *noncharacters]
+    return {n: found for n in asked if (found := html.unescape(f"&#{n};")) != chr(n)}
+
+
+def _tables() -> Column:
+    """What names (by first letter, as a map is searched from its start) and odd numbers stand for."""
+    names: dict[str, dict[str, str]] = {}
+    # The old ones, which need no semicolon, come first.
+    for known in sorted(html5, key=lambda n: (n.rstrip(";") not in html5, n)):
+        names.setdefault(known[0], {})[known] = html5[known]
+    numbers = {str(n): text for n, text in _odd_numbers().items()}
+    kind = "struct<names: map<string,map<string,string>>, numbers: map<string,string>>"
+    return F.from_json(F.lit(json.dumps({"names": names, "numbers": numbers})), kind)
+
+
+def _by_number(digits: Column, base: int, odd: Column) -> Column:
+    """The character of a number, whose digits may be any number."""
+    plain = F.regexp_replace(digits, "^0+", "")
+    number = F.conv(F.concat(F.lit("0"), plain), base, 10).cast("int")
+    character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    small = (
+        F.when((number > _LAST) | number.between(0xD800, 0xDFFF), _REPLACEMENT)
+        .otherwise(F.coalesce(F.try_element_at(odd, number.cast("string")), character))
+    )
+    return F.when(F.length(plain) > 7, _REPLACEMENT).otherwise(small)
+
+
+def _by_name(name: Column, names: Column) -> Column:
+    """What a name stands for; of a longer text its longest beginning that is a name."""
+    found = lambda x: F.try_element_at(F.try_element_at(names, F.substring(name, 1, 1)), x)
+    # Only names without a semicolon can begin something else.
+    longest = max(len(known) for known in html5 if not known.endswith(";"))
+    starts = [
+        F.when(F.length(name) > size, F.concat(found(F.substring(name, 1, size)), F.substring(name, size + 1, 33)))
+        for size in range(longest, 1, -1)
+    ]
+    return F.coalesce(found(name), *starts)
+
+
+def _decoded(reference: Column, tables: Column) -> Column:
+    digits = F.regexp_extract(reference, "^&#[xX]?([0-9a-fA-F]+)", 1)
+    usual = F.lit(None).cast("string")
+    for name in _USUAL:
+        usual = F.when(reference == f"&{name}", html5[name]).otherwise(usual)
+    other = (
+        F.when(reference.rlike("^&#[xX]"), _by_number(digits, 16, tables["numbers"]))
+        .when(reference.startswith("&#"), _by_number(digits, 10, tables["numbers"]))
+        .otherwise(F.coalesce(_by_name(F.substring(reference, 2, 33), tables["names"]), reference))
+    )
+    return F.coalesce(usual, other)
+
+
 def unescape_entities(text: Column) -> Column:
-    """Decode HTML entities.
+    """Decode HTML entities as Python does, in the JVM.
 
-    The full entity table lives in Python, so this is the one place that leaves
-    the JVM; text without an ampersand is not sent across.
+    The names come from Python's own table when the plan is built.  Text without an ampersand is
+    left alone.
     """
+    references = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+    # The tables once in the plan, and the references decoded once.
+    decoded = lambda tables: F.transform(references, lambda r: _decoded(r, tables))
+    between = F.split(text, _REFERENCE, -1)
 
-    # A local function travels by value, so workers need no copy of the package.
-    @F.pandas_udf(StringType())
-    def unescape(values: pd.Series) -> pd.Series:
-        return values.map(html.unescape, na_action="ignore")
+    def joined(found: Column) -> Column:
+        pieces = F.transform(between, lambda piece, i: F.concat(piece, F.coalesce(F.get(found, i), F.lit(""))))
+        return F.array_join(pieces, "")
 
-    return F.coalesce(unescape(F.when(text.contains("&"), text)), text)
+    found = F.transform(F.transform(F.array(_tables()), decoded), joined)[0]
+    return F.when(text.contains("&"), found).otherwise(text)
 
 
 def clean_html(text: Column, max_chars: int | None = None) -> Column:

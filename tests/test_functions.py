@@ -1,4 +1,5 @@
 import html
+import html.entities
 import random
 import re
 
@@ -147,6 +148,24 @@ def test_clean_html(spark):
     assert cut == [long[:12000]]
 
 
+def test_entities_like_python(spark):
+    """Every name with and without its end, in longer words, and numbers of all kinds."""
+    names = sorted({n.rstrip(";") for n in html.entities.html5})
+    values = [f"&{n};" for n in names] + [f"&{n}" for n in names] + [f"&{n}x;y" for n in names[::7]]
+    numbers_ = [*range(0, 0x180), 0xD800, 0xDFFF, 0xFDD0, 0xFFFE, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF, 0x110000, 10**7, 10**30]
+    values += [f"&#{n};" for n in numbers_] + [f"&#x{n:X}" for n in numbers_] + [f"&#X{n:x};1" for n in numbers_]
+    values += ["&", "&;", "&#;", "&#x;", "& amp;", "&&amp;;", "&#0000000000065;", "&a" * 40, "&" + "n" * 40, "&notit;", "&é&lt", "&#x1F600&#9;"]
+    assert evaluate(spark, values, text.unescape_entities) == [html.unescape(v) for v in values]
+    long = "a&amp;&#66;&nope " * 50_000
+    assert evaluate(spark, [long, None], text.unescape_entities) == [html.unescape(long), None]
+
+
+def test_no_worker_for_entities(spark):
+    df = spark.createDataFrame([("a",)], "x string").select(text.clean_html(F.col("x")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan and "InArrow" not in plan
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     st.lists(
