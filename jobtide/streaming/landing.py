@@ -63,7 +63,7 @@ def ingest_landed(
                 files.sparkSession, landing, snapshot_date, now(), skills, sources
             )
             stored = store_batches(batches, table)
-            failed += [(snapshot_date, source) for source in batches if source not in stored.seen]
+            failed += [(snapshot_date, source) for source in sources if source not in stored.seen]
         if failed:
             # The batch is not committed, so the next run takes these places up again.
             raise FailedBoardsError(failed)
