@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Regex, normalizers, pre_tokenizers
 
+from jobtide.llm.common import claim
+
 PIECE_CHARS = 1 << 20  # longer texts are worked on in pieces, cut at blanks
 BATCH_CHARS = 1 << 21  # texts of a batch whose words are looked up together
 CACHED_CHUNKS = 300_000  # beyond, a cache keeps what the batch at hand uses
@@ -281,6 +283,10 @@ def _load(content: str) -> Tokenizer:
     return _LOADED[key]
 
 
+def _forget() -> None:
+    _LOADED.clear()
+
+
 def _read(path: str) -> str:
     with open(path, encoding="utf-8") as file:
         return file.read()
@@ -303,6 +309,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
     content = documents.sparkSession.sparkContext.broadcast(_read(path or default_tokenizer()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("bpe", _forget)
         tokenizer = _load(content.value)
         for batch in batches:
             for rows in _slices(batch):

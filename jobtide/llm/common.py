@@ -1,8 +1,11 @@
 """What several operators of this package need."""
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,31 @@ def settle(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Gives back what a worker's finished task freed, as the worker stays for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which keeps what it has
+
+
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None]) -> None:
+    """Tells a worker for whom it works now: what it kept for others is freed.
+
+    ``clear`` frees what it will keep from task to task for this owner.
+    """
+    others = [name for name in _KEPT if name != owner]
+    for name in others:
+        _KEPT.pop(name)()
+    _KEPT[owner] = clear
+    if others:
+        release_memory()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

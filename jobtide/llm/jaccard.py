@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import settle, unused, without, workspace
+from jobtide.llm.common import claim, release_memory, settle, unused, without, workspace
 from jobtide.llm.components import components
 
 WORDS = 4
@@ -57,6 +57,10 @@ class _Words(dict):
 _HASHES = _Words()
 
 
+def _forget() -> None:
+    _HASHES.clear()
+
+
 def _mix(values: np.ndarray, seed: int) -> np.ndarray:
     """A 64-bit finalizer: each seed orders the values in another way."""
     x = values + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & _MASK)
@@ -172,6 +176,7 @@ def _shared_sets(documents: DataFrame, total: int, words: int, num: int, den: in
     bits = max(8, (total // RANGE_TOKENS).bit_length())
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard", _forget)
         # The same on every attempt, as partitions and their rows are.
         chunk = TaskContext.get().partitionId() << 32
         sets: dict[int, np.ndarray] = {}
@@ -191,6 +196,8 @@ def _shared_sets(documents: DataFrame, total: int, words: int, num: int, den: in
                     chunk, sets, held = chunk + 1, {}, 0
         if sets:
             yield from _chunk_rows(chunk, sets, bits)
+        sets = {}
+        release_memory()
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         headers = pdf[pdf["header"]]
@@ -347,17 +354,23 @@ def similar_documents(
     documents = documents.select("doc_id", "text")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard", _forget)
         for batch in batches:
-            sets = [shingles(text.as_py(), words) for text in batch.column(2)]
+            sizes, nodes = [], []
+            for text in batch.column(2):
+                found = shingles(text.as_py(), words)
+                sizes.append(len(found))
+                nodes.append(node_of(found) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(nodes, pa.int64()),
                 ],
                 ["doc_id", "text_hash", "n_shingles", "node"],
             )
+        release_memory()
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     named = settle(

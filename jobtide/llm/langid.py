@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import copies_drawn, settle, workspace
+from jobtide.llm.common import claim, copies_drawn, release_memory, settle, workspace
 
 BUCKETS = 1 << 14
 SAMPLE_ROWS = 4000  # expected size of the sample that the weights are fitted on
@@ -124,6 +124,10 @@ def _temperature(logits: np.ndarray, targets: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def _forget() -> None:
+    """Nothing is kept from task to task."""
+
+
 def id_checksum(column: str) -> Column:
     """The checksum of an id as text; that of an empty text for null."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
@@ -134,6 +138,7 @@ def train(labelled: DataFrame, folder: str) -> Model:
     usable = labelled.where("lang is not null and text is not null")
 
     def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("langid", _forget)
         total, rows = np.zeros(BUCKETS, np.int64), Counter()
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
@@ -291,5 +296,6 @@ def known_language(documents: DataFrame, min_score: float = MIN_SCORE) -> DataFr
                 found = [predict(model.value, t.as_py()) for t in part.column(at)]
                 sure = [lang != UNKNOWN and score >= min_score for lang, score in found]
                 yield part.filter(pa.array(sure, pa.bool_()))
+        release_memory()
 
     return documents.mapInArrow(work, documents.schema)

@@ -25,6 +25,8 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from jobtide.llm.common import claim
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the public encoder
 SLICE_BYTES = 1 << 21
@@ -314,6 +316,10 @@ def _load(data: bytes) -> Counter:
     return _LOADED[key]
 
 
+def _forget() -> None:
+    _LOADED.clear()
+
+
 def default_model() -> str:
     import public_tokenizers
 
@@ -336,6 +342,7 @@ def token_counts(documents: DataFrame, path: str | None = None) -> DataFrame:
     data = documents.sparkSession.sparkContext.broadcast(read(path or default_model()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("viterbi", _forget)
         counter = _load(data.value)
         for batch in batches:
             step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
