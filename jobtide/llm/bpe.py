@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Regex, normalizers, pre_tokenizers
 
-from jobtide.llm.common import claim
+from jobtide.llm.common import claim, release_memory
 
 PIECE_CHARS = 1 << 20  # longer texts are worked on in pieces, cut at blanks
 BATCH_CHARS = 1 << 21  # texts of a batch whose words are looked up together
@@ -311,6 +311,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("bpe", _forget)
         tokenizer = _load(content.value)
+        release_memory()
         for batch in batches:
             for rows in _slices(batch):
                 coded = tokenizer.encode([t or "" for t in rows.column(1).to_pylist()])
@@ -323,6 +324,7 @@ def encode(documents: DataFrame, path: str | None = None) -> DataFrame:
                     ],
                     ["doc_id", "n_tokens", "ids", "decoded"],
                 )
+        release_memory()
 
     ids = documents.select("doc_id", "text")
     kind = ids.schema["doc_id"].dataType.simpleString()

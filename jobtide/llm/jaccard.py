@@ -227,7 +227,9 @@ def _shared_sets(documents: DataFrame, total: int, words: int, num: int, den: in
         answers = pd.DataFrame(rows, columns=["chunk", "tokens", "places", "counts"])
         answers["range"], answers["header"] = 0, False
         answers["nodes"] = answers["sizes"] = None
-        return pd.concat([headers, answers])[list(pdf.columns)]
+        answered = pd.concat([headers, answers])[list(pdf.columns)]
+        release_memory()
+        return answered
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         columns = ["node", "n", "take", "tokens", "spread"]
@@ -259,7 +261,9 @@ def _shared_sets(documents: DataFrame, total: int, words: int, num: int, den: in
             (nodes[i], sizes[i], take[i], tokens[ends[i] - shared[i] : ends[i]].tobytes(), spread[ends[i] - shared[i] : ends[i]].tobytes())
             for i in np.flatnonzero((take > 0) & (shared > 0))
         ]
-        return pd.DataFrame(rows, columns=columns)
+        gathered = pd.DataFrame(rows, columns=columns)
+        release_memory()
+        return gathered
 
     kind = "node bigint, n bigint, take bigint, tokens binary, spread binary"
     sent = documents.select("text").mapInArrow(send, _SENT_SQL)
