@@ -19,6 +19,7 @@ from jobtide.sources.tables import (
 )
 from jobtide.sources.taxonomy import default_skills, default_taxonomy
 from jobtide.schemas import RAW
+from jobtide.verification import postings
 from jobtide.verification.postings import raw_postings
 
 
@@ -150,3 +151,11 @@ def test_ingest_shuffles_only_to_dedupe(spark, board, expected):
     assert text.count("ArrowEvalPython") == 0
     # The text is cleaned once, although both the record and the matching use it.
     assert text.count("<[^>]+>") == 1
+
+
+def test_tasks_of_postings_are_bounded_by_rows(spark, sf_dir, monkeypatch):
+    """However few bytes the rows are that postings come from."""
+    monkeypatch.setattr(postings, "_ROWS_PER_TASK", 300)
+    raw = raw_postings(spark, sf_dir)
+    sizes = [r["count"] for r in raw.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == raw.count() and max(sizes) < 600
