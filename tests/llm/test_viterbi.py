@@ -1,6 +1,7 @@
 import random
 import struct
 
+import numpy as np
 import pytest
 
 from jobtide.llm import viterbi
@@ -83,3 +84,33 @@ def test_single_precision_after_unknown_characters(counter):
         parts = viterbi.Counter(data).cut("▁" + text.replace(" ", "▁"))
         differ += sum(counter.walk_within(part, 0.0, 0.0)[1] for part in parts) != whole
     assert differ  # sums without rounding give other counts
+
+
+def test_chunks_are_worked_out_together(monkeypatch):
+    """Few chunks run through the recurrence one by one, before and after rounding sets in."""
+    data = viterbi.read(viterbi.default_model())
+    counter, alone = viterbi.Counter(data), []
+    for name in ("walk", "walk_within"):
+        own = getattr(counter, name)
+        monkeypatch.setattr(counter, name, lambda *args, own=own: alone.append(args) or own(*args))
+    words = [f"w{i * 7919 % 1000}x{i}" for i in range(1000)]
+    texts = [" ".join(words), "漢字 " + " ".join(reversed(words)), "", "x" * 200 + " the " + "漢" * 90]
+    assert counter.count_all(texts) == [brute_force(data, text) for text in texts]
+    assert len(alone) < 100
+
+
+@pytest.mark.parametrize("zone", [0, 25, 30, 34])
+def test_joint_outcomes_equal_single_ones(counter, zone):
+    draw = random.Random(zone)
+    chunks = ["".join(draw.choices("▁aeinrst漢é🎉.", k=draw.randrange(1, 60))) for _ in range(200)]
+    counter.count_all(chunks)
+    (lattice,) = counter._lattices([n for chunk, n in counter.ids.items() if len(chunk) <= 64][-150:])
+    unit = 2.0 ** (zone - 24) if zone else 0.0
+    for odd in (0, 1):
+        before = -unit * ((3 << 22) + odd)
+        chosen = draw.sample(range(len(lattice.ids)), 90)
+        got = lattice.walk(np.array(chosen), np.full(90, unit), odd)
+        for place, change, number, tied in zip(chosen, *got, strict=True):
+            after, pieces, half_way = counter.walk_within(counter.chunks[lattice.ids[place]], before, unit)
+            assert (change, number) == (after - before, pieces)
+            assert tied == half_way or not zone
