@@ -25,6 +25,7 @@ from jobtide.llm.common import claim, release_memory
 
 PIECE_CHARS = 1 << 20  # longer texts are worked on in pieces, cut at blanks
 BATCH_CHARS = 1 << 21  # texts of a batch whose words are looked up together
+MERGED_CHARS = 1 << 17  # of words merged together: an index takes some hundred bytes for each
 CACHED_CHUNKS = 300_000  # beyond, a cache keeps what the batch at hand uses
 _BASE = 1 << 20  # above every id: a pair of ids is one number
 # From here on engines differ in the characters their Unicode version knows.
@@ -191,7 +192,8 @@ class Tokenizer:
             self.known_words = {w: self.known_words[w] for w in distinct.intersection(self.known_words)}
         fresh = sorted(distinct.difference(self.known_words))
         known = self.known_words
-        known.update(zip(fresh, self.merge_all(fresh), strict=True))
+        for part in _groups(fresh, MERGED_CHARS):
+            known.update(zip(part, self.merge_all(part), strict=True))
         self.known.update(
             (chunk, known[found[0]] if len(found) == 1 else b"".join([known[w] for w in found]))
             for chunk, found in words.items()
@@ -212,7 +214,7 @@ class Tokenizer:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         out = []
-        for group in _groups(texts):
+        for group in _groups(texts, BATCH_CHARS):
             # Every second part is a special token.
             split = [
                 [part if n % 2 else self.split(part) for piece in _pieces(text)
@@ -247,12 +249,13 @@ class Tokenizer:
             return " ".join(shown[i] for i in numbers if shown.get(i) is not None)
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """The texts in parts of about so many characters."""
     group, size = [], 0
     for text in texts:
         group.append(text)
         size += len(text)
-        if size >= BATCH_CHARS:
+        if size >= chars:
             yield group
             group, size = [], 0
     if group:

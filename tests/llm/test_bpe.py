@@ -57,3 +57,18 @@ def test_documents_match_library(spark, sf_dir, both):
     for r in bpe.encode(df).collect():
         expected = both[1].encode(texts[r.doc_id], add_special_tokens=False).ids
         assert np.frombuffer(r.ids, "<u4").tolist() == expected
+
+
+def test_words_are_merged_in_parts(monkeypatch):
+    """The index of places holds a bounded number of characters, however many words are new."""
+    tokenizer = bpe.Tokenizer(bpe._read(bpe.default_tokenizer()))
+    text = " ".join(f"word{i * 7919}" for i in range(5000))
+    (whole,) = tokenizer.encode([text])
+    tokenizer = bpe.Tokenizer(bpe._read(bpe.default_tokenizer()))
+    own, sizes = tokenizer.merge_all, []
+    monkeypatch.setattr(bpe, "MERGED_CHARS", 1000, raising=False)
+    monkeypatch.setattr(
+        tokenizer, "merge_all", lambda words: sizes.append(sum(map(len, words))) or own(words)
+    )
+    assert tokenizer.encode([text]) == [whole]
+    assert max(sizes) < 1100
