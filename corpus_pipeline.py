@@ -1,10 +1,13 @@
-"""The corpus pipeline: documents in, token ids out."""
+"""The corpus pipeline: documents in, token ids out.
+
+Each stage starts on executors that gave back the heap the stage before it had filled.
+"""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm import bpe, decontamination, jaccard, langid, pii
-from jobtide.llm.common import settle, table, workspace
+from jobtide.llm.common import free_executors, settle, table, workspace
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,16 +20,19 @@ def join_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Near copies share 0.8 of their five-word shingles.
     """
+    free_executors(spark)
     return jaccard.one_of_each(docs, 5, 80, 100)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no span of the benchmark."""
+    free_executors(spark)
     return decontamination.clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates for personal data; ``n_chars`` follows the text."""
+    free_executors(spark)
     changed = pii.pseudonymized(docs, pii.session_key(spark)).select(*docs.columns)
     if "n_chars" not in docs.columns:
         return changed
@@ -35,6 +41,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and digests of them and of the text they decode to."""
+    free_executors(spark)
     return bpe.encode(docs).select(
         "doc_id",
         "n_tokens",

@@ -82,6 +82,20 @@ def test_rows_are_taken_away_without_moving_texts(spark, sent, monkeypatch):
     assert "LeftAnti" in plan and (sent == 0 or "Exchange hashpartitioning" not in plan)
 
 
+def test_a_stage_starts_on_collected_executors(spark, sf_dir):
+    """Each executor's heap is collected between stages, or the next stage's workers have no room beside it."""
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+
+    def full_collections():
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    docs = table(spark, sf_dir, "documents").limit(5)
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        before = full_collections()
+        stage(spark, docs, sf_dir)
+        assert full_collections() > before
+
+
 def test_near_copies_below_the_contract_of_op7(spark, sf_dir):
     """0.8 of five-word shingles: a passage appended to a copy takes it below 0.85."""
     base = [f"w{i}" for i in range(104)]  # 100 shingles of five words
