@@ -159,3 +159,13 @@ def test_tasks_of_postings_are_bounded_by_rows(spark, sf_dir, monkeypatch):
     raw = raw_postings(spark, sf_dir)
     sizes = [r["count"] for r in raw.groupBy(F.spark_partition_id()).count().collect()]
     assert sum(sizes) == raw.count() and max(sizes) < 600
+
+
+def test_published_builds_read_a_stored_raw_table(spark, sf_dir, monkeypatch):
+    """Or each build and each check would make all postings anew."""
+    import __spark_entry__ as entry
+
+    given, publish = [], build.publish
+    monkeypatch.setattr(build, "publish", lambda raw, *rest: given.append(plan(raw)) or publish(raw, *rest))
+    assert entry.queries()["published_demand"](spark, sf_dir).count() == 30
+    assert len(given) == 2 and not any("Exchange" in text or "lineitem" in text for text in given)
