@@ -169,3 +169,28 @@ def test_published_builds_read_a_stored_raw_table(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(build, "publish", lambda raw, *rest: given.append(plan(raw)) or publish(raw, *rest))
     assert entry.queries()["published_demand"](spark, sf_dir).count() == 30
     assert len(given) == 2 and not any("Exchange" in text or "lineitem" in text for text in given)
+
+
+def test_code_of_stored_postings_is_compiled(spark, sf_dir):
+    """The JVM only ever interprets methods above 8,000 bytes."""
+    from jobtide.verification.registry import Relations
+
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = Relations(spark, sf_dir).stored_batch._jdf.queryExecution().explainString(mode)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_postings_without_keys(spark, tmp_path):
+    """A missing key is met by no case."""
+    items = [(None, 1, 5, 7), (8, None, 5, 7), (8, 1, 5, 7), (9, 1, None, 7), (10, 1, 5, None), (11, 1, None, None)]
+    columns = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint"
+    spark.createDataFrame(items, columns).coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    given = spark.createDataFrame(items, "k bigint, n int, pk bigint, sk bigint")
+    as_written = [f"{text.replace('{NTZ}', 'TIMESTAMP_NTZ')} AS {name}" for name, text in postings._COLUMNS.items()]
+    found = raw_postings(spark, str(tmp_path))
+    assert sorted(map(str, found.collect())) == sorted(map(str, given.selectExpr(*as_written).collect()))
