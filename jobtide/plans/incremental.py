@@ -75,6 +75,16 @@ def _words(ordinals: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), word)
 
 
+def _bit(ordinal: int) -> int:
+    """The bit of an ordinal in its word, as a signed number."""
+    bit = 1 << ordinal % _WORD
+    return bit - (1 << _WORD) if bit >> (_WORD - 1) else bit
+
+
+def _word_at(words: Column, place: int) -> Column:
+    return F.coalesce(F.get(words, F.lit(place)), F.lit(0).cast("bigint"))
+
+
 def _set_bits(words: Column) -> Column:
     """The numbers of the bits that are set."""
     places = F.sequence(F.lit(0), F.size(words) * _WORD - 1)
@@ -87,17 +97,23 @@ def _set_bits(words: Column) -> Column:
 
 
 def _versions(raw: DataFrame, ordinals: dict[str | None, int], size: int) -> DataFrame:
-    """``identity, latest, seen`` of the postings in some partitions of the raw table."""
-    number = F.lit(None).cast("int")
+    """``hash, identity, latest, seen`` of the postings in some partitions of the raw table."""
+    bit, place = F.lit(0).cast("bigint"), F.lit(0)
     for day, ordinal in ordinals.items():
         same = F.col("snapshot_date").isNull() if day is None else F.col("snapshot_date") == day
-        number = F.when(same, F.lit(ordinal)).otherwise(number)
+        bit = F.when(same, F.lit(_bit(ordinal)).cast("bigint")).otherwise(bit)
+        place = F.when(same, F.lit(ordinal // _WORD)).otherwise(place)
     named = raw.where("source is not null and external_id is not null")
-    found = latest_versions(named, marts.LATEST_COLUMNS, [F.collect_set(number).alias("_bits")])
-    return found.select(
+    named = named.withColumns({"_bit": bit, "_place": place})
+    words = [
+        F.bit_or(F.when(F.col("_place") == w, F.col("_bit")).otherwise(F.lit(0))).alias(f"_word_{w}")
+        for w in range(size)
+    ]
+    return latest_versions(named, marts.LATEST_COLUMNS, words).select(
+        F.col("_hash").alias("hash"),
         F.col("_identity").alias("identity"),
         F.col("_latest").alias("latest"),
-        _words(F.col("_bits"), size).alias("seen"),
+        F.array(*[F.col(f"_word_{w}") for w in range(size)]).alias("seen"),
     )
 
 
@@ -127,11 +143,13 @@ def update(spark: SparkSession, table: str, root: str) -> str | None:
     delta = _versions(raw.where(_in(changed)), {p[0]: ordinals[p[0]] for p in changed}, size)
     if folder:
         state = spark.read.parquet(f"{folder}/state")
-        merged = _merged(state, delta, replaced, ordinals, size)
-        scratch = scratch_folder(spark)
-        merged.write.parquet(f"{scratch}/merged")
-        merged = spark.read.schema(merged.schema).parquet(f"{scratch}/merged")
-        new = _renewed(merged, raw, ordinals, size)
+        new = _merged(state, delta, replaced, ordinals, size)
+        # Without a replaced partition no winner is lost.
+        if replaced:
+            scratch = scratch_folder(spark)
+            new.write.parquet(f"{scratch}/merged")
+            merged = spark.read.schema(new.schema).parquet(f"{scratch}/merged")
+            new = _renewed(merged, raw, ordinals, size)
     else:
         new = delta
     target = new_version()
@@ -158,14 +176,15 @@ def _merged(
     bits = defaultdict(list)
     for day, source in replaced:
         bits[source].append(ordinals[day])
-    none = F.array().cast("array<int>")
-    cleared_bits = none
+    cleared_bits = F.array().cast("array<int>")
     for source, own in bits.items():
         cleared_bits = F.when(F.col("s.latest.source") == source, F.array(*map(F.lit, own))).otherwise(cleared_bits)
-    mask = _words(cleared_bits, size)
-    zero = F.lit(0).cast("bigint")
-    places = F.sequence(F.lit(0), F.lit(size - 1))
-    at = lambda words, i: F.coalesce(F.get(words, i), zero)
+
+    def left(w: int) -> Column:
+        """What a word of the state keeps."""
+        kept = _word_at(F.col("s.seen"), w)
+        return kept.bitwiseAND(F.bitwise_not(_word_at(F.col("mask"), w))) if replaced else kept
+
     stale = F.coalesce(
         reduce(
             lambda a, b: a | b,
@@ -178,32 +197,34 @@ def _merged(
         ),
         F.lit(False),
     )
-    joined = state.alias("s").join(delta.alias("d"), F.col("s.identity") == F.col("d.identity"), "full_outer")
-    joined = joined.select(
+    # The changes come dealt and sorted by hash and identity.
+    state = state.withColumn("hash", F.xxhash64("identity"))
+    same = (F.col("s.hash") == F.col("d.hash")) & (F.col("s.identity") == F.col("d.identity"))
+    joined = state.alias("s").join(delta.alias("d"), same, "full_outer")
+    joined = joined.withColumn("mask", _words(cleared_bits, size)).select(
         F.coalesce("s.identity", "d.identity").alias("identity"),
         F.coalesce("s.latest.source", "d.latest.source").alias("source"),
         F.when(~stale, F.col("s.latest")).alias("kept"),
         F.col("s.latest").alias("old"),
         F.col("d.latest").alias("own"),
-        F.col("s.seen").alias("old_seen"),
         F.col("d.seen").alias("own_seen"),
         stale.alias("stale"),
-        mask.alias("mask"),
-    )
-    left = F.transform(
-        places, lambda i: at(F.col("old_seen"), i).bitwiseAND(F.bitwise_not(at(F.col("mask"), i)))
+        F.array(*map(left, range(size))).alias("left"),
     )
-    joined = joined.withColumn("left", left)
-    remains = F.exists("left", lambda w: w != 0)
+
+    def any_set(words: str) -> Column:
+        return reduce(lambda a, b: a | b, [_word_at(F.col(words), w) != 0 for w in range(size)])
+
     beaten = F.col("own").isNull() | (F.col("own") < F.col("old"))
+    seen = [_word_at(F.col("left"), w).bitwiseOR(_word_at(F.col("own_seen"), w)) for w in range(size)]
     return joined.select(
         "identity",
         "source",
         F.greatest("kept", "own").alias("latest"),
-        F.transform(places, lambda i: at(F.col("left"), i).bitwiseOR(at(F.col("own_seen"), i))).alias("seen"),
+        F.array(*seen).alias("seen"),
         "left",
-        (F.col("stale") & remains & beaten).alias("lost"),
-    ).where(F.exists("seen", lambda w: w != 0))
+        (F.col("stale") & any_set("left") & beaten).alias("lost"),
+    ).where(any_set("seen"))
 
 
 def _renewed(merged: DataFrame, raw: DataFrame, ordinals: dict, size: int) -> DataFrame:
@@ -223,9 +244,10 @@ def _renewed(merged: DataFrame, raw: DataFrame, ordinals: dict, size: int) -> Da
     named = job_identity(F.col("source"), F.col("external_id"))
     rows = raw.where(_in(partitions)).join(lost_ids, named == F.col("lost_id"), "left_semi")
     found = _versions(rows, {p[0]: ordinals[p[0]] for p in partitions}, size).select(
-        F.col("identity").alias("found_id"), F.col("latest").alias("found")
+        F.col("hash").alias("found_hash"), F.col("identity").alias("found_id"), F.col("latest").alias("found")
     )
-    return merged.join(found, F.col("identity") == F.col("found_id"), "left").select(
+    same = (F.xxhash64("identity") == F.col("found_hash")) & (F.col("identity") == F.col("found_id"))
+    return merged.join(found, same, "left").select(
         "identity", F.greatest("latest", "found").alias("latest"), "seen"
     )
 
@@ -235,18 +257,24 @@ def fct_job_postings(spark: SparkSession, root: str) -> DataFrame:
     folder = current_folder(spark, root)
     rows = _partition_rows(spark, folder)
     dates = {r["ordinal"]: r["snapshot_date"] for r in rows}
-    known = F.array(*[F.lit(dates.get(i)).cast("date") for i in range(max(dates) + 1)])
-    seen = F.filter(
-        F.transform(_set_bits(F.col("seen")), lambda o: F.element_at(F.col("days"), o + 1)),
-        lambda d: d.isNotNull(),
+    day = lambda d: F.lit(d).cast("date").alias("day")
+    known = F.sort_array(
+        F.array(
+            *[
+                F.struct(day(d), F.lit(o // _WORD).alias("place"), F.lit(_bit(o)).cast("bigint").alias("bit"))
+                for o, d in dates.items()
+            ]
+        )
     )
-    state = spark.read.parquet(f"{folder}/state").withColumn("days", known).withColumn("dates", seen)
+    # Sorted by day, so the first and the last are those of the posting.
+    held = lambda d: d["day"].isNotNull() & (F.get(F.col("seen"), d["place"]).bitwiseAND(d["bit"]) != 0)
+    state = spark.read.parquet(f"{folder}/state").withColumn("days", F.filter(known, held))
     jobs = state.select(
         "latest.*",
         F.lit(None).cast("string").alias("description_text"),
-        F.array_min("dates").alias("first_seen_date"),
-        F.array_max("dates").alias("last_seen_date"),
-        F.size("dates").cast("bigint").alias("snapshots_present"),
+        F.get("days", F.lit(0))["day"].alias("first_seen_date"),
+        F.get("days", F.size("days") - 1)["day"].alias("last_seen_date"),
+        F.size("days").cast("bigint").alias("snapshots_present"),
     )
     stored = [r["snapshot_date"] for r in rows if r["stored"] and r["snapshot_date"] is not None]
     return marts.fact_rows(jobs, F.lit(max(stored, default=None)).cast("date"))

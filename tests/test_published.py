@@ -134,3 +134,31 @@ def test_bitmaps_beyond_one_word(spark):
     found = words.select("o", incremental._set_bits(F.col("w")).alias("bits")).collect()
     assert all(sorted(r.o) == r.bits for r in found)
     assert version_folder("r", "v") == "r/versions/v"
+
+
+def test_new_snapshots_are_merged_in_one_pass(spark, raw, tmp_path, monkeypatch):
+    """No winner is lost where no partition was replaced, so nothing is written in between."""
+    table, root = str(tmp_path / "raw"), str(tmp_path / "state")
+    upsert_snapshot(raw.where("snapshot_date <= '2026-01-12'"), table)
+    incremental.update(spark, table, root)
+    monkeypatch.setattr(incremental, "scratch_folder", lambda _: pytest.fail("written in between"))
+    upsert_snapshot(raw.where("snapshot_date = '2026-01-19'"), table)
+    incremental.update(spark, table, root)
+    assert rows(incremental.fct_job_postings(spark, root)) == rows(marts.fct_job_postings(read_raw(spark, table)))
+
+
+def test_versions_hold_the_bits_of_many_snapshots(spark, raw):
+    days = [None, *(f"day {n}" for n in range(129))]
+    ordinals = {day: len(days) - 1 - n for n, day in enumerate(days)}
+    one = raw.limit(1).drop("snapshot_date", "external_id")
+    held = {"a": days, "b": [None], "c": ["day 0", "day 1", "day 65"], "d": ["day 128"]}
+    made = spark.createDataFrame([(k, d) for k, ds in held.items() for d in ds * 2], "external_id string, snapshot_date string")
+    listed = one.crossJoin(made).select(*RAW.names)
+    spark.conf.set("spark.sql.ansi.enabled", "false")  # the days are no dates
+    try:
+        found = incremental._versions(listed, ordinals, 3)
+        assert "ObjectHashAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+        bits = found.select(F.substring_index("identity", ":", -1).alias("k"), incremental._set_bits(F.col("seen")).alias("o"))
+        assert {r.k: r.o for r in bits.collect()} == {k: sorted(ordinals[d] for d in ds) for k, ds in held.items()}
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
