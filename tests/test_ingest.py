@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from jobtide.plans.quality import QualityError
 from jobtide.plans import build, ingest, reports
-from jobtide.schemas import RAW
+from jobtide.schemas import JOBICY_JOB, RAW
+from jobtide.sources import payloads
 from jobtide.sources.tables import ensure_raw_table, read_raw
 from jobtide.sources.taxonomy import default_skills, default_taxonomy, read_taxonomy, SEED
 from jobtide.streaming.landing import ingest_landed
@@ -304,3 +305,28 @@ def test_taxonomy_file(spark):
     assert len(read) == 51
     shown = reports.taxonomy_list(default_taxonomy(spark))
     assert shown.columns == ["skill", "category"] and shown.count() == 51
+
+
+ODD_DOCUMENTS = [
+    '{"jobs":[{"id":1E400,"jobTitle":"a"},{"id":"\\"Infinity\\"","url":-1e999}]}',
+    '{"jobs":[{"id":NaN,"jobTitle":"a"},5,"x","",null,[1],{"id":[1e5,{"a":1.0}]},{}]}',
+    '{"jobs":[{"id":1},[{"id":2}],{"id":123456789012345678901234567890,"url":0.10}]}',
+    '{"jobs":{"id":1}}', '{"jobs":5}', '{"jobs":"[1]"}', '{"jobs":null}', '{"x":[1]}', "{}", "",
+    '{"jobs":[{"id":1,"id":2}],"jobs":[{"id":"3"}]}',
+    '{"x":{"jobs":[1]},"jobs":[{"id":"\\u00e9 \\" \\n","jobTitle":"\\ud83d\\ude00","jobType":["a"," b"]}]} rest',
+    '{"jobs":[{"id":"\\ud83d x","jobType":["\\ud83d",1E400,1e5,-0.0],"url":{"a":"\\ude00"}}]}',
+]
+
+
+def test_documents_read_at_once_give_what_their_elements_give(spark):
+    rows = [(str(n), text) for n, text in enumerate(ODD_DOCUMENTS)]
+    documents = spark.createDataFrame(rows, "page string, value string")
+    elements = payloads.elements_of(documents, "jobs").where(F.ltrim("element").startswith("{"))
+    expected = elements.select("page", "position", F.from_json("element", JOBICY_JOB).alias("job"))
+    found = payloads.explode_jobs(documents, "jobs", JOBICY_JOB)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+    assert found.count() == 10
+    for text in ("<p>", '{"jobs":[{"id":1}', "[]", "5", '{"jobs":[{"id":1,}]}'):
+        broken = documents.select("page", F.lit(text).alias("value"))
+        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING"):
+            payloads.explode_jobs(broken, "jobs", JOBICY_JOB).collect()

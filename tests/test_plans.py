@@ -19,7 +19,7 @@ from jobtide.sources.tables import (
 )
 from jobtide.sources.taxonomy import default_skills, default_taxonomy
 from jobtide.schemas import RAW
-from jobtide.verification import postings
+from jobtide.verification import payloads, postings
 from jobtide.verification.postings import raw_postings
 
 
@@ -194,3 +194,22 @@ def test_postings_without_keys(spark, tmp_path):
     as_written = [f"{text.replace('{NTZ}', 'TIMESTAMP_NTZ')} AS {name}" for name, text in postings._COLUMNS.items()]
     found = raw_postings(spark, str(tmp_path))
     assert sorted(map(str, found.collect())) == sorted(map(str, given.selectExpr(*as_written).collect()))
+
+
+def test_a_document_is_parsed_once_and_its_jobs_are_not_parsed_for_the_filter(spark):
+    documents = spark.createDataFrame([("p", "{}")], "page string, value string")
+    for read in (boards.jobicy, boards.arbeitnow):
+        lines = plan(read(documents)).splitlines()
+        assert not any("from_json(StructField" in line for line in lines if "Filter" in line)
+    cut = documents.select("page", F.lit(0).alias("position"), F.col("value").alias("element"))
+    lines = plan(boards.arbeitnow(cut)).splitlines()
+    assert sum("from_json(StructField" in line for line in lines) == 1
+
+
+def test_documents_are_made_where_their_orders_are(spark, sf_dir):
+    documents = payloads.jobicy(raw_postings(spark, sf_dir, payloads.BY_PAGE))
+    text = plan(documents)
+    assert shuffles(text) == 1 and "jobDescription" not in text[text.index("Exchange") :]
+    same = payloads.jobicy(raw_postings(spark, sf_dir))
+    kept = ["page", "value"]
+    assert sorted(documents.select(kept).collect()) == sorted(same.select(kept).collect())
