@@ -109,3 +109,26 @@ def test_rows_of_a_conversation_do_not_depend_on_the_others(spark):
     # The first block of a long conversation holds what a short one of the same turns holds.
     first = [r.replace("conv_id=2", "conv_id=1") for r in rows_of(chat.examples(beside, 4), 2) if "block=0" in r]
     assert first == rows_of(chat.examples(alone, 4), 1)
+
+
+def test_replies_of_long_conversations_get_all_turns_before_them(spark):
+    df = spark.createDataFrame(rows(), KIND)
+    listed = lambda found: sorted(map(str, found.collect()))
+    uncut, none = chat.examples(df, 64)
+    assert none is None and listed(chat.whole(uncut, None)) == listed(uncut)
+    for size in (1, 3, 4):
+        short, long_ = chat.examples(df, size)
+        found = chat.whole(short, long_)
+        assert found.columns == uncut.columns and listed(found) == listed(uncut)
+    turns = [(1, t, "assistant" if t % 2 else "user", f"x{t}", 1, "") for t in range(150)]
+    found = chat.whole(*chat.examples(spark.createDataFrame(turns, KIND))).collect()
+    assert sorted((r.target, r.text.count(chat.END)) for r in found) == [(t, t + 1) for t in range(1, 150, 2)]
+
+
+def test_the_digests_read_whole_examples(spark, monkeypatch):
+    turns = [(1, t, "assistant", f"x{t}", 1, "") for t in range(9)]
+    seen, real = [], chat._read
+    monkeypatch.setattr(chat, "_read", lambda found, *keys: (seen.append(found), real(found, *keys))[1])
+    chat.digests(*chat.examples(spark.createDataFrame(turns, KIND), 2))
+    texts = [r.text for found in seen for r in found.collect()]
+    assert sorted(text.count(chat.END) for text in texts) == list(range(1, 10))
